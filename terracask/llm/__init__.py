@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["fingerprint", "sharding"]
+MODULES = ["fingerprint", "near_dedup", "mixing", "sharding", "chat", "decontam", "url_filter", "warc"]
 
 
 def queries() -> dict:
