@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, fresh, table
 
-BUCKETS = 1 << 14
-SIZES = (3, 4)
+BUCKETS = 1 << 16
+SIZES = (3, 4, 5)
 #: Rows of the built-in labelled table, its documented bound.
-LABELLED_ROWS = 1200
+LABELLED_ROWS = 16000
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,9 @@ GOOD_WORDS = (
     "journal review guide forum photo nature river forest health family home village studio craft teacher student report "
     "article essay story about archive research university society culture language paper letter station bridge"
 ).split()
-SYLLABLES = "ba be bi bo da de di do en er es in is la le lo ma me mi mo na ne no on or ou ra re ro sa se so sti ta te ter th ti to tion un ur va ve".split()
+#: Parts of invented ordinary hosts.
+ONSETS = "b bl br c ch cl d dr f fl g gr h j k l m n p pl pr r s sh sl st t th tr v w wh".split()
+RHYMES = "a al an ar at e ea ed el en er es et i in ing ion is it ly nd nt o on or ou ough u un ur ust ble tion th sh".split()
 SUFFIXES = "com net org info example.com example.net example.org co.uk de fr es".split()
 PREFIXES = ("", "", "www.", "m.", "blog.")
 PATH_TAILS = ("", "/", ".html", "?page=2&ref=x", "?utm_source=feed", "#top")
@@ -71,20 +73,27 @@ def labelled_urls(rows: int = LABELLED_ROWS, seed: int = 9) -> list[tuple[str, f
     """A labelled table made by rule: half unwanted (1.0), half ordinary (0.0).
 
     Both halves share prefixes, suffixes, languages and path shapes, so that these tell
-    the model nothing; ordinary hosts are real words or invented ones.
+    the model nothing. Unwanted hosts hold an unwanted word, or two; ordinary ones are real
+    words or, mostly, invented ones.
     """
     draw = random.Random(seed)
+
+    def invented() -> str:
+        return "".join(draw.choice(ONSETS) + draw.choice(RHYMES) for _ in range(draw.randint(1, 4)))
+
     out = []
     for i in range(rows):
         bad = i % 2
         if bad:
-            words = draw.sample(BAD_WORDS, 2)
-        elif draw.random() < 0.5:
+            other = draw.choice((draw.choice(BAD_WORDS), draw.choice(GOOD_WORDS), invented()))
+            words = [draw.choice(BAD_WORDS), other]
+            draw.shuffle(words)
+        elif draw.random() < 0.3:
             words = draw.sample(GOOD_WORDS, draw.choice((1, 2)))
         else:
-            words = ["".join(draw.choice(SYLLABLES) for _ in range(draw.randint(2, 4)))]
+            words = [invented() for _ in range(draw.choice((1, 1, 2)))]
         host = draw.choice(PREFIXES) + draw.choice(("-", "", "-")).join(words) + "." + draw.choice(SUFFIXES)
-        path = "/" + draw.choice(("en", "de", "fr", "es", draw.choice(BAD_WORDS if bad else GOOD_WORDS))) + f"/{draw.randint(1, 999)}"
+        path = "/" + draw.choice(("en", "de", "fr", "es", "news", "item")) + f"/{draw.randint(1, 999)}"
         out.append((draw.choice(("http://", "https://")) + host + path + draw.choice(PATH_TAILS), float(bad)))
     return out
 
@@ -120,13 +129,14 @@ def featurize(df: DataFrame, out: str = "features") -> DataFrame:
 def train(labelled: DataFrame, url: str = "url", label: str = "label") -> LogisticRegressionModel:
     """A logistic regression on the labelled table, which is small by contract."""
     ready = featurize(with_parts(labelled, url)).select("features", F.col(label).cast("double").alias("label")).coalesce(1)
-    return LogisticRegression(maxIter=60, regParam=0.02, tol=1e-8, standardization=False).fit(ready)
+    return LogisticRegression(maxIter=60, regParam=0.00005, tol=1e-6, standardization=False).fit(ready)
 
 
 @functools.cache
 def _built_in(session: SparkSession) -> LogisticRegressionModel:
-    rows = [F.struct(F.lit(u).alias("url"), F.lit(y).alias("label")) for u, y in labelled_urls()]
-    return train(session.range(1).select(F.inline(F.array(*rows))))
+    listed = "\n".join(f"{int(y)} {u}" for u, y in labelled_urls())
+    rows = session.range(1).select(F.explode(F.split(F.lit(listed), "\n")).alias("row"))
+    return train(rows.select(F.expr("substring(row, 3)").alias("url"), F.substring("row", 1, 1).alias("label")))
 
 
 def matching_rule(rules: tuple[Rule, ...], host: Column, path: Column) -> tuple[Column, Column]:
