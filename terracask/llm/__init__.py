@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["fingerprint", "near_dedup", "mixing", "sharding", "chat", "decontam", "langid", "url_filter", "warc"]
+MODULES = ["fingerprint", "near_dedup", "mixing", "sharding", "chat", "decontam", "html_extract", "langid", "url_filter", "warc"]
 
 
 def queries() -> dict:
