@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES: list[str] = []
+FAMILIES = ["metric_queries", "split_queries"]
 
 
 def queries() -> dict:
