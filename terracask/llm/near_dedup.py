@@ -29,8 +29,8 @@ an empty table gives an empty result; extra columns are carried along by ``drop_
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +47,14 @@ PERCENT = 85
 TREES = 24
 DEPTH = 3
 COORDINATES = 128
-NODE = 64
+#: Documents of a node that is compared exhaustively, and of a block of one that is still larger at last.
+NODE = 2048
 ROUNDS = 8
-#: Rows of a block where an oversize node is compared exactly.
-BLOCK = 512
+BLOCK = NODE // 2
+#: Shingles that the documents of such a node may have together.
+WEIGHT = 1 << 23
+#: Rows that are compared with a node's others at a time.
+BAND = 128
 _MULTIPLIERS = S.stream(21, COORDINATES) | S.U(1)
 _OFFSETS = S.stream(22, COORDINATES)
 _ROOTS = S.stream(23, 4096)
@@ -137,23 +141,27 @@ def _features(percent: int, trees: int):
 
 
 def _branch(percent: int):
-    """(node, id, sig) to the children's (node, id), DEPTH levels down, by signature bytes."""
+    """(node, id, n, sig) to the children's (node, id, n), DEPTH levels down, by signature bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            nodes = np.asarray(batch.column("node")).view(S.U)
+            tokens = _matrix(batch)
+            nodes = batch.column("node").to_numpy().view(S.U)
             for at in range(0, len(nodes), 4096):
                 part = np.arange(at, min(at + 4096, len(nodes)))
                 rows, children = descend(tokens, part, nodes[part], DEPTH, percent)
-                ids = batch.column("id").take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), ids], ["node", "id"])
+                kept = batch.select(["id", "n"]).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), *kept.columns], ["node", "id", "n"])
 
     return run
 
 
+def _matrix(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
 # ------------------------------------------------------------------ comparing
 
 
@@ -163,66 +171,112 @@ def least_agreement(percent: int) -> int:
     return int(COORDINATES * p - 4.7 * (COORDINATES * p * (1 - p)) ** 0.5)
 
 
-def _close(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the pairs (left, right) may be a link between different components."""
-    small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-    maybe = np.flatnonzero((100 * small >= percent * large) & (comp[left] != comp[right]))
-    least, keep = least_agreement(percent), []
-    for at in range(0, len(maybe), 1 << 16):
-        m = maybe[at : at + (1 << 16)]
-        keep.append(m[(sig[left[m]] == sig[right[m]]).sum(1) >= least])
-    return np.concatenate(keep) if keep else maybe
+def _close(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, side: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a node's rows that may be a link between different components, a band of
+    rows at a time. Of an oversize node's two blocks (sides 1 and 2), only pairs across them."""
+    least, places = least_agreement(percent), np.arange(len(size))
+    for at in range(0, len(size), BAND):
+        i = places[at : at + BAND, None]
+        maybe = (places > i) & (comp != comp[i]) & ((side == 0) | (side != side[i]))
+        maybe &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
+        left, right = np.nonzero(maybe)
+        left += at
+        for k in range(0, len(left), 1 << 15):
+            x, y = left[k : k + (1 << 15)], right[k : k + (1 << 15)]
+            close = (sig[x] == sig[y]).sum(1) >= least
+            if close.any():
+                yield x[close], y[close]
+
+
+def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows with equal node, from batches sorted by node, one node at a time; by what
+    was counted before, a node's rows are few."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node = batch.column("node").to_numpy()
+        cuts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1).tolist(), len(node)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and held[-1].column("node")[0].as_py() != node[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _contested(percent: int):
+    """Of each node's rows, those that may have a link to another component in it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_node(batches):
+            if len(rows) < 2:
+                continue
+            comp, size, side = (rows.column(c).to_numpy() for c in ("comp", "n", "side"))
+            found = np.zeros(len(rows), bool)
+            for left, right in _close(_matrix(rows), size, comp, side, percent):
+                found[left] = found[right] = True
+            if found.any():
+                yield from rows.select(["node", "id", "side"]).filter(pa.array(found)).combine_chunks().to_batches()
 
-def _pairs(percent: int):
-    """Exhaustive comparison of rows sorted by (node); a node's rows stand together and,
-    by what was counted before, are few."""
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(upto: pa.Table) -> Iterator[pa.RecordBatch]:
-            node = np.asarray(upto.column("node"))
-            ids, comp = np.asarray(upto.column("id")), np.asarray(upto.column("comp"))
-            size = np.asarray(upto.column("n"))
-            side = np.asarray(upto.column("side"))
-            sig = np.frombuffer(b"".join(upto.column("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            cuts = np.flatnonzero(np.r_[True, node[1:] != node[:-1], True])
-            for a, b in zip(cuts, cuts[1:]):
-                if b - a < 2:
-                    continue
-                left, right = np.triu_indices(b - a, 1)
-                if side[a:b].any():  # blocks of an oversize node: only pairs across the two sides
-                    across = side[a:b][left] != side[a:b][right]
-                    left, right = left[across], right[across]
-                keep = _close(sig[a:b], size[a:b], comp[a:b], left, right, percent)
-                if len(keep):
-                    x, y = ids[a:b][left[keep]], ids[a:b][right[keep]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
+def _links(percent: int):
+    """The links of each node's rows between different components, by 32 bits of each shingle.
+
+    A pair that meets in several nodes is compared in the one with the smallest number. Bits
+    that are the same by chance can only add pairs, which are confirmed on full sets later;
+    shingles of one text that share their bits are allowed for.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_node(batches):
+            if len(rows) < 2:
                 continue
-            rows = pa.Table.from_batches([*held, batch])
-            node = np.asarray(rows.column("node"))
-            last = int(np.searchsorted(node[::-1] != node[-1], True)) if (node != node[-1]).any() else len(node)
-            whole = len(node) - last
-            if whole:
-                yield from flush(rows.slice(0, whole))
-            held = rows.slice(whole).to_batches()
-        if held:
-            yield from flush(pa.Table.from_batches(held))
+            here = rows.column("node")[0].as_py()
+            ids, comp, size, side = (rows.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
+            sets = [np.frombuffer(x.as_buffer(), np.uint32) for c in rows.column("low").chunks for x in c]
+            met = _met_before(rows.column("nodes").to_pylist(), here)
+            out: list[tuple[int, int]] = []
+            for left, right in _close(_matrix(rows), size, comp, side, percent):
+                new = ~(met[left] & met[right]).any(1)
+                for i, j in zip(left[new].tolist(), right[new].tolist()):
+                    small, large = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
+                    at = np.searchsorted(large, small)
+                    at[at == len(large)] = 0
+                    both = int((large[at] == small).sum()) + int(min(size[i] - len(sets[i]), size[j] - len(sets[j])))
+                    if 100 * both >= percent * (int(size[i]) + int(size[j]) - both):
+                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
+def _met_before(nodes: list[list[int]], here: int) -> np.ndarray:
+    """For each row a bit set of the smaller nodes that it shares with any other row."""
+    earlier = [[v for v in row if v < here] for row in nodes]
+    counts = Counter(v for row in earlier for v in row)
+    places = {v: k for k, v in enumerate(v for v, n in counts.items() if n > 1)}
+    bits = np.zeros((len(nodes), len(places) // 64 + 1), S.U)
+    for r, row in enumerate(earlier):
+        for v in row:
+            if (k := places.get(v)) is not None:
+                bits[r, k >> 6] |= S.U(1 << (k & 63))
+    return bits
+
+
 def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full shingle sets, sorted, and sorted without repeats in 32 bits."""
     for whole in batches:
         for batch in S.slices(whole, "text"):
             values, offsets = _sets(batch)
-            raw = values.tobytes()
-            sets = [raw[8 * a : 8 * b] for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.large_binary()).cast(pa.binary())], ["id", "set"])
+            full = [values[a:b] for a, b in zip(offsets, offsets[1:])]
+            low = [np.unique(v.astype(np.uint32)).tobytes() for v in full]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([v.tobytes() for v in full], pa.binary()), pa.array(low, pa.binary())], ["id", "set", "low"])
 
 
 def _confirm(percent: int):
@@ -259,8 +313,7 @@ class _Join:
         self.classes = self.keep(same, "classes")
         joined = linked.join(self.classes, ["k1", "k2", "n_shingles"]).where("doc_id = rep")
         self.reps = self.keep(joined.dropDuplicates(["doc_id", "k1", "k2"]).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "nodes"), "reps")
-        self.links: list[DataFrame] = []
-        self.labels: DataFrame | None = None
+        self.labels = self.keep(self.reps.select(F.col("id").alias("node"), F.col("id").alias("comp")), "labels")
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         kept, path = write_table(self.spark, df, label)
@@ -269,55 +322,79 @@ class _Join:
 
     def info(self) -> DataFrame:
         """(id, n, sig, comp) of every class."""
-        plain = self.reps.select("id", "n", "sig")
-        if self.labels is None:
-            return plain.withColumn("comp", F.col("id"))
-        return plain.join(self.labels.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        return self.reps.select("id", "n", "sig").join(self.labels.withColumnRenamed("node", "id"), "id")
 
     def counted(self, members: DataFrame) -> DataFrame:
-        """(node, id, size, first) of the nodes that have at least two members."""
-        sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1")
+        """(node, id, n, size, weight, first) of the nodes that have at least two members."""
+        sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("id").alias("first")).where("size > 1")
         return self.keep(members.join(sizes, "node"), "members")
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Adds the pairs (a, b) that are links on their full sets, and updates the components."""
+        """Joins the components of the pairs (a, b) that are links on their full sets."""
         pairs = self.keep(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = self.docs.join(ids, "doc_id", "left_semi")
-        sets = self.keep(texts.mapInArrow(_all_sets, "id bigint, set binary"), "sets")
-        with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-        with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-        found = self.keep(with_b.mapInArrow(_confirm(self.percent), "a bigint, b bigint"), "links")
-        self.links.append(found)
-        self.labels, path = components(self.spark, reduce(DataFrame.union, self.links))
-        self.paths.append(path)
-        drop_path(self.spark, self.paths.pop(self.paths.index(next(p for p in self.paths if "/sets-" in p))))
+        with_a = pairs.join(self.sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
+        with_b = with_a.join(self.sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+        self.merge(self.keep(with_b.mapInArrow(_confirm(self.percent), "a bigint, b bigint"), "links"))
+
+    def merge(self, links: DataFrame) -> None:
+        """Joins the components that ``links`` connect."""
+        for end in ("a", "b"):
+            labels = self.labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+            links = links.join(labels, end)
+        edges = self.keep(links.where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "edges")
+        if not edges.limit(1).count():
+            return
+        merged, path = components(self.spark, edges)
+        new = self.labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+        old = self.paths.index(next(p for p in self.paths if "/labels-" in p))
+        self.labels = self.keep(new.select("node", F.coalesce("to", "comp").alias("comp")), "labels")
+        drop_path(self.spark, self.paths.pop(old))
+        drop_path(self.spark, path)
+
+    def drop(self, *labels: str) -> None:
+        for path in [p for p in self.paths if any(f"/{x}-" in p for x in labels)]:
+            drop_path(self.spark, path)
+            self.paths.remove(path)
 
     def run(self) -> None:
-        members = self.counted(self.reps.select(F.explode("nodes").alias("node"), "id"))
+        members = self.counted(self.reps.select(F.explode("nodes").alias("node"), "id", "n"))
+        texts = self.docs.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        self.sets = self.keep(texts.mapInArrow(_all_sets, "id bigint, set binary, low binary"), "sets")
         # First the document that each one most often meets as a node's smallest.
         meets = members.where("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("times"))
         best = meets.groupBy("id").agg(F.max(F.struct("times", -F.col("first"))).alias("m"))
         self.confirm(best.select((-F.col("m.col2")).alias("a"), F.col("id").alias("b")))
         for round_ in range(ROUNDS + 1):
-            rows = members.join(self.info(), "id")
+            rows = members.drop("n", "first").join(self.info(), "id")
             mixed = rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node")
             rows = self.keep(rows.join(mixed, "node", "left_semi"), "open")
-            small = rows.where(F.col("size") <= NODE).select("node", "id", "n", "sig", "comp", F.lit(0).alias("side"))
-            large = rows.where(F.col("size") > NODE)
+            fits = (F.col("size") <= NODE) & (F.col("weight") <= WEIGHT)
+            small = rows.where(fits).select("node", "id", "n", "sig", "comp", F.lit(0).alias("side"))
+            large = rows.where(~fits)
             more = large.limit(1).count() > 0
             if more and round_ == ROUNDS:
                 small = small.unionByName(self.blocks(large))
-            sorted_ = small.repartition("node").sortWithinPartitions("node")
-            self.confirm(sorted_.mapInArrow(_pairs(self.percent), "a bigint, b bigint").distinct())
+            self.compare(small)
             if not more or round_ == ROUNDS:
                 return
-            children = large.select("node", "id", "sig").mapInArrow(_branch(self.percent), "node bigint, id bigint")
+            children = large.select("node", "id", "n", "sig").mapInArrow(_branch(self.percent), "node bigint, id bigint, n bigint")
             members = self.counted(children.distinct())
 
+    def compare(self, small: DataFrame) -> None:
+        """Compares small nodes exhaustively and joins what is linked."""
+
+        def dealt(rows: DataFrame) -> DataFrame:
+            return rows.repartition("node").sortWithinPartitions("node")
+
+        found = dealt(small).mapInArrow(_contested(self.percent), "node bigint, id bigint, side int")
+        contested = self.keep(found, "contested")
+        lists = contested.groupBy("id").agg(F.collect_list("node").alias("nodes"))  # a document's own nodes
+        rows = contested.join(lists, "id").join(self.info(), "id").join(self.sets.select("id", "low"), "id")
+        self.confirm(dealt(rows).mapInArrow(_links(self.percent), "a bigint, b bigint").distinct())
+
     def blocks(self, large: DataFrame) -> DataFrame:
         """An oversize node as small nodes of two blocks each, for every pair of its blocks."""
-        dealt = large.withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int"))
+        dealt = large.withColumn("parts", F.ceil(F.greatest(F.col("size") / BLOCK, 2 * F.col("weight") / WEIGHT)).cast("int"))
         dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
         both = dealt.select("node", "id", "n", "sig", "comp", "part", other)
@@ -325,22 +402,16 @@ class _Join:
         side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
         return both.select(F.xxhash64("node", low, high).alias("node"), "id", "n", "sig", "comp", side.cast("int").alias("side"))
 
-    def drop_work(self) -> None:
-        keep = ("/features-", "/classes-", "/labels-")
-        for path in [p for p in self.paths if not any(k in p for k in keep)]:
-            drop_path(self.spark, path)
-            self.paths.remove(path)
-
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text): ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
     join = _Join(docs, percent, trees)
     join.run()
-    join.drop_work()
+    join.drop("reps", "members", "open", "contested", "sets", "pairs", "links", "edges")
     rows = join.features.select("doc_id", "n_shingles", "k1", "k2")
     classed = rows.join(join.classes, ["k1", "k2", "n_shingles"], "left")
     labelled = classed.join(join.labels.withColumnRenamed("node", "rep"), "rep", "left")
-    whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id"))
+    whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return labelled.select("doc_id", "n_shingles", whole.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
