@@ -26,7 +26,7 @@ from .common import ascii_lower, fresh, table
 BUCKETS = 1 << 16
 SIZES = (3, 4, 5)
 #: Rows of the built-in labelled table, its documented bound.
-LABELLED_ROWS = 16000
+LABELLED_ROWS = 6000
 
 
 @dataclass(frozen=True)
@@ -109,13 +109,12 @@ def with_parts(df: DataFrame, url: str = "url") -> DataFrame:
 def ngrams(column: Column, mark: str) -> Column:
     """Character n-grams of a bounded string, with its part's mark in front of each."""
     padded = F.concat(F.lit("^"), column, F.lit("$"))
-    grams = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))),
-            lambda i, n=n: F.concat(F.lit(mark), F.substring(padded, i, n)),
-        )
-        for n in SIZES
-    ]
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(padded, i, F.lit(n))))
+
+    grams = [of(n) for n in SIZES]
     return F.when(column == "", F.array().cast("array<string>")).otherwise(F.concat(*grams))
 
 
