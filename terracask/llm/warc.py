@@ -103,6 +103,8 @@ def decode_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
         raise Damaged("header block without end")
+    if VERSION_LINE.search(data, at + 1, end + 2):
+        raise Damaged("version line within a header block")
     head = {}
     try:
         for line in data[at:end].decode().split("\r\n")[1:]:
