@@ -57,7 +57,7 @@ def order_statistics(df: DataFrame, by: str, value: str, fractions: Sequence[flo
 def drift_table(df: DataFrame, reference: str, comparison: str, bins: int = BINS, epsilon: float = EPSILON, feature: str = "feature", split: str = "split", value: str = "value") -> DataFrame:
     """SMD, PSI and JSD of each feature between two splits."""
     both = df.where(F.col(split).isin(reference, comparison)).select(feature, (F.col(split) == comparison).cast("int").alias("c"), value)
-    edges = order_statistics(both, feature, value, [i / bins for i in range(bins + 1)])
+    edges = order_statistics(both, feature, value, [*(i * (1 / bins) for i in range(bins)), 1.0])  # an evenly stepped grid
     edges = edges.select(feature, F.array_distinct("quantiles").alias("edges"))
     inner = edges.select(feature, F.expr("CASE WHEN size(edges) > 2 THEN slice(edges, 2, size(edges) - 2) ELSE cast(array() as array<double>) END").alias("inner"), (F.size("edges") < 2).alias("flat"))
     placed = both.join(F.broadcast(inner), feature)  # a row per feature

@@ -102,7 +102,7 @@ _DRIFT = f"""WITH {PATCH_PX},
 f AS (SELECT 'pos' || px || '__value' AS feature, split, value FROM patch_px WHERE channel = 0 AND px < 8 AND split IN ('train', 'test')),
 v AS (SELECT feature, list(value ORDER BY value) AS v, count(*) AS n FROM f GROUP BY feature),
 h AS (SELECT feature, v, n, unnest(range(11)) AS i FROM v),
-q AS (SELECT feature, i, v[lo + 1] AS a, v[least(lo + 2, n)] AS b, w FROM (SELECT *, floor((n - 1) * (i / 10::DOUBLE))::BIGINT AS lo, (n - 1) * (i / 10::DOUBLE) - floor((n - 1) * (i / 10::DOUBLE)) AS w FROM h)),
+q AS (SELECT feature, i, v[lo + 1] AS a, v[least(lo + 2, n)] AS b, w FROM (SELECT *, floor((n - 1) * (CASE WHEN i = 10 THEN 1 ELSE i * 0.1::DOUBLE END))::BIGINT AS lo, (n - 1) * (CASE WHEN i = 10 THEN 1 ELSE i * 0.1::DOUBLE END) - floor((n - 1) * (CASE WHEN i = 10 THEN 1 ELSE i * 0.1::DOUBLE END)) AS w FROM h)),
 e AS (SELECT feature, list_sort(list_distinct(list(CASE WHEN w < 0.5 THEN a + (b - a) * w ELSE b - (b - a) * (1 - w) END))) AS e FROM q GROUP BY feature),
 k AS (SELECT feature, split, len(list_filter(e[2:len(e) - 1], lambda x: value >= x)) AS bin FROM f JOIN e USING (feature)),
 g AS (SELECT feature, unnest(range(len(e) - 1)) AS bin FROM e),
