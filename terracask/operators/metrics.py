@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ratio
+from .numbering import sums_before
 
 #: Thresholds 0, 0.001, ..., 1.
 GRID = 1000
@@ -67,9 +68,9 @@ def score_steps(df: DataFrame, by: Sequence[str], label: str = "target", score:
 def roc_auc(df: DataFrame, by: Sequence[str], **names) -> DataFrame:
     """Area under the ROC curve, ties counted half; null without both classes."""
     steps = score_steps(df, by, **names)
-    below = Window.partitionBy(*by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    neg = F.col("n") - F.col("pos")
-    won = steps.withColumn("won", F.col("pos") * (F.coalesce(F.sum(neg).over(below), F.lit(0)) + neg / 2.0))
+    steps = sums_before(steps.withColumn("neg", F.col("n") - F.col("pos")), by, "score", ["neg"])
+    neg = F.col("neg")
+    won = steps.withColumn("won", F.col("pos") * (F.col("neg_before") + neg / 2.0))
     out = won.groupBy(*by).agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum(neg).alias("neg"))
     pairs = F.col("pos") * F.col("neg")
     return out.select(*by, F.when(pairs > 0, F.col("won") / pairs).alias("roc_auc"))
@@ -78,8 +79,8 @@ def roc_auc(df: DataFrame, by: Sequence[str], **names) -> DataFrame:
 def average_precision(df: DataFrame, by: Sequence[str], **names) -> DataFrame:
     """Step-wise average precision: precision at each distinct score times the recall gained there."""
     steps = score_steps(df, by, **names)
-    above = Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    seen = steps.withColumns({"tp": F.sum("pos").over(above), "m": F.sum("n").over(above)})
+    before = sums_before(steps, by, "score", ["pos", "n"], descending=True)
+    seen = before.withColumns({"tp": F.col("pos_before") + F.col("pos"), "m": F.col("n_before") + F.col("n")})
     out = seen.groupBy(*by).agg(F.sum(F.col("pos") * F.col("tp") / F.col("m")).alias("s"), F.sum("pos").alias("p"))
     return out.select(*by, ratio(F.col("s"), F.col("p")).alias("average_precision"))
 

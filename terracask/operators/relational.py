@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def exactly_once(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each left row with the one right row of its keys; an error where there is none or several.
@@ -74,14 +76,13 @@ def accept_reject(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFra
     return df.withColumn("rejection_reason", reason).withColumn("quality_flag", F.when(reason.isNull(), "accepted").otherwise("rejected"))
 
 
-def representative(df: DataFrame, by: str, order: Sequence[Column], k: int) -> DataFrame:
-    """At most ``k`` rows per class, evenly spaced in the given order: positions
-    round(i * (n - 1) / (k - 1)), half to even. A sample of fixed size by purpose."""
-    w = Window.partitionBy(by)
-    placed = df.withColumn("__at", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.count(F.lit(1)).over(w))
+def representative(df: DataFrame, by: str, key: str, order: Sequence[Column], k: int) -> DataFrame:
+    """At most ``k`` rows per class, evenly spaced in the given order, which begins with ``key``:
+    positions round(i * (n - 1) / (k - 1)), half to even. A sample of fixed size by purpose."""
+    placed = numbered(df, by, key, order, "__at")
     steps = F.sequence(F.lit(0), F.lit(max(k - 1, 0)))
-    spots = F.transform(steps, lambda i: F.bround(i * (F.col("__n") - 1) / F.lit(float(max(k - 1, 1)))).cast("bigint"))
-    return placed.where((F.col("__n") <= k) | F.array_contains(spots, F.col("__at").cast("bigint"))).drop("__at", "__n")
+    spots = F.transform(steps, lambda i: F.bround(i * (F.col("__at_count") - 1) / F.lit(float(max(k - 1, 1)))).cast("bigint"))
+    return placed.where((F.col("__at_count") <= k) | F.array_contains(spots, F.col("__at").cast("bigint"))).drop("__at", "__at_count")
 
 
 def overlapping_boxes(boxes: DataFrame, key: str = "box_id") -> DataFrame:
@@ -107,11 +108,11 @@ def bounds_valid() -> Column:
     return F.coalesce(in_range & (F.col("min_lon") < F.col("max_lon")) & (F.col("min_lat") < F.col("max_lat")), F.lit(False))
 
 
-def shards(df: DataFrame, group: str, order: Sequence[Column], size: int) -> DataFrame:
-    """Adds ``shard`` (from 1) of ``size`` rows each within ``group``, and its name."""
-    number = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    out = df.withColumn("shard", F.ceil(number / size).cast("int"))
-    return out.withColumn("shard_name", F.format_string("part-%05d", F.col("shard")))
+def shards(df: DataFrame, group: str, key: str, order: Sequence[Column], size: int) -> DataFrame:
+    """Adds ``shard`` (from 1) of ``size`` rows each within ``group``, in an order that begins with
+    ``key``, and its name."""
+    out = numbered(df, group, key, order, "__at").withColumn("shard", F.floor(F.col("__at") / size).cast("int") + 1)
+    return out.withColumn("shard_name", F.format_string("part-%05d", F.col("shard"))).drop("__at", "__at_count")
 
 
 def unpivot_assets(df: DataFrame, ids: Sequence[str], assets: Sequence[str]) -> DataFrame:

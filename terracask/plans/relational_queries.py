@@ -67,7 +67,7 @@ def accept_reject(spark, sf_dir):
 
 def representative_sample(spark, sf_dir):
     s = scores(spark, sf_dir).withColumn("prediction", (F.col("probability") >= THRESHOLD).cast("int"))
-    picked = rel.representative(s, "prediction", [F.asc("probability"), F.asc("patch_key")], 25)
+    picked = rel.representative(s, "prediction", "probability", [F.asc("probability"), F.asc("patch_key")], 25)
     return picked.select("patch_key", "prediction", "probability")
 
 
@@ -82,7 +82,7 @@ def bounds_validity(spark, sf_dir):
 
 def jsonl_shards(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").where("length(trim(text)) > 0")
-    return rel.shards(c, "role", [F.asc("conv_id"), F.asc("turn")], 50).groupBy("role", "shard", "shard_name").agg(F.count(F.lit(1)).alias("records"))
+    return rel.shards(c, "role", "conv_id", [F.asc("conv_id"), F.asc("turn")], 50).groupBy("role", "shard", "shard_name").agg(F.count(F.lit(1)).alias("records"))
 
 
 def dashboard_filter(spark, sf_dir):
