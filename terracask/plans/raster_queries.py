@@ -167,7 +167,7 @@ SQL = {
     "patch_label_counts": f"""WITH {_LABEL}, c AS (SELECT aoi_id, cell // 16 AS patch, count(*) FILTER (label = 1)::BIGINT AS positive, count(*) FILTER (label = 0)::BIGINT AS negative FROM lpx GROUP BY ALL)
   SELECT *, round(CASE WHEN positive + negative > 0 THEN positive::DOUBLE / (positive + negative) END, 9) AS loss_fraction, CASE WHEN positive + negative > 0 THEN (positive > 0)::INTEGER END AS loss_binary FROM c""",
     "annual_loss": f"WITH {_LABEL} SELECT aoi_id, loss + 2000 AS year, count(*)::BIGINT AS pixels FROM lpx WHERE label <> 255 AND loss > 0 GROUP BY ALL",
-    "valid_coverage": f"WITH {_LABEL}, c AS (SELECT aoi_id, count(*) FILTER (label = 1)::BIGINT AS valid_pixels, count(*) FILTER (label <> 255)::BIGINT AS eligible_pixels FROM lpx GROUP BY ALL) SELECT *, round(100::DOUBLE * valid_pixels / eligible_pixels, 9) AS coverage_pct FROM c",
+    "valid_coverage": f"WITH {_LABEL}, c AS (SELECT aoi_id, count(*) FILTER (label = 1)::BIGINT AS valid_pixels, count(*) FILTER (label <> 255)::BIGINT AS eligible_pixels FROM lpx GROUP BY ALL) SELECT *, CASE WHEN eligible_pixels > 0 THEN round(100::DOUBLE * valid_pixels / eligible_pixels, 9) END AS coverage_pct FROM c",
     "mosaic_first": f"""WITH {PIXELS}, k AS (SELECT aoi_id, cell % 40 AS x, cell // 40 AS y, scl AS value, scene FROM pixels WHERE {_OK}), f AS (SELECT *, row_number() OVER (PARTITION BY aoi_id, x, y ORDER BY scene, value) AS rn FROM k)
   SELECT aoi_id, x, y, value FROM f WHERE x >= 5 AND x < 30 AND y > -1 AND y <= 40 AND rn = 1""",
     "sliding_windows": """WITH g AS (SELECT n_name AS aoi_id, n_nationkey * 5 + 20 AS h, n_nationkey * 3 + 32 AS w FROM nation),
