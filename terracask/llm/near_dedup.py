@@ -238,10 +238,10 @@ def _links(percent: int):
             here = rows.column("node")[0].as_py()
             ids, comp, size, side = (rows.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
             sets = [np.frombuffer(x.as_buffer(), np.uint32) for c in rows.column("low").chunks for x in c]
-            met = _met_before(rows.column("nodes").to_pylist(), here)
+            met, across = _met_before(rows.column("nodes").to_pylist(), rows.column("sides").to_pylist(), here)
             out: list[tuple[int, int]] = []
             for left, right in _close(_matrix(rows), size, comp, side, percent):
-                new = ~(met[left] & met[right]).any(1)
+                new = ~(met[left] & across[right]).any(1)
                 for i, j in zip(left[new].tolist(), right[new].tolist()):
                     small, large = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
                     at = np.searchsorted(large, small)
@@ -256,17 +256,23 @@ def _links(percent: int):
     return run
 
 
-def _met_before(nodes: list[list[int]], here: int) -> np.ndarray:
-    """For each row a bit set of the smaller nodes that it shares with any other row."""
-    earlier = [[v for v in row if v < here] for row in nodes]
-    counts = Counter(v for row in earlier for v in row)
-    places = {v: k for k, v in enumerate(v for v, n in counts.items() if n > 1)}
-    bits = np.zeros((len(nodes), len(places) // 64 + 1), S.U)
+def _met_before(nodes: list[list[int]], sides: list[list[int]], here: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row a bit set of the (node, side) of the smaller nodes that it shares with any
+    other row, and one of those whose rows it is compared with there: of two blocks (sides 1
+    and 2) the other one, else the same. Two rows met before if one's first and the other's
+    second set share a bit."""
+    earlier = [[(v, s) for v, s in zip(*row) if v < here] for row in zip(nodes, sides)]
+    counts = Counter(v for row in earlier for v, _ in row)
+    shared = (v for v, n in counts.items() if n > 1)
+    places = {v: 3 * k for k, v in enumerate(shared)}
+    met = np.zeros((len(nodes), 3 * len(places) // 64 + 1), S.U)
+    across = np.zeros_like(met)
     for r, row in enumerate(earlier):
-        for v in row:
+        for v, side in row:
             if (k := places.get(v)) is not None:
-                bits[r, k >> 6] |= S.U(1 << (k & 63))
-    return bits
+                for bits, at in ((met, k + side), (across, k + (0, 2, 1)[side])):
+                    bits[r, at >> 6] |= S.U(1 << (at & 63))
+    return met, across
 
 
 def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,7 +394,8 @@ class _Join:
 
         found = dealt(small).mapInArrow(_contested(self.percent), "node bigint, id bigint, side int")
         contested = self.keep(found, "contested")
-        lists = contested.groupBy("id").agg(F.collect_list("node").alias("nodes"))  # a document's own nodes
+        own = F.collect_list(F.struct("node", "side"))  # a document's own nodes
+        lists = contested.groupBy("id").agg(own.alias("own")).select("id", F.col("own.node").alias("nodes"), F.col("own.side").alias("sides"))
         rows = contested.join(lists, "id").join(self.info(), "id").join(self.sets.select("id", "low"), "id")
         self.confirm(dealt(rows).mapInArrow(_links(self.percent), "a bigint, b bigint").distinct())
 

@@ -52,6 +52,27 @@ def test_oversize_nodes_are_branched_and_blocked(make, prose, monkeypatch):
     assert verdicts(nd.near_duplicates(docs, 85)) == brute(rows, 85)
 
 
+def look_alikes(pairs):
+    """A text that is linked with nothing, and linked pairs that look much like it and like each other."""
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for k in range(pairs):
+        left = [f"v{k}x{i}" if i in (20, 60, 100) else w for i, w in enumerate(base)]
+        right = [f"u{k}" if i == 140 else w for i, w in enumerate(left)]
+        texts += [" ".join(left), " ".join(right)]
+    return list(enumerate(texts))
+
+
+def test_rows_of_one_block_meet_in_their_own_block_only(make, monkeypatch):
+    rows = look_alikes(20)
+    want = brute(rows, 85)
+    assert len({c for _, c in want.values()}) == 21
+    monkeypatch.setattr(nd, "NODE", 6)
+    monkeypatch.setattr(nd, "BLOCK", 3)
+    monkeypatch.setattr(nd, "ROUNDS", 0)
+    assert verdicts(nd.near_duplicates(make([(i, t, None, None, None) for i, t in rows]), 85)) == want
+
+
 def test_odd_rows(odd_docs):
     rows = nd.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
