@@ -7,16 +7,20 @@ document goes to the child that its token of each chosen function names. A pair
 threshold so keeps one common child per node on average, however deep, while unlike
 documents part after a level or two. Since a node's choices depend on the node alone, each
 document finds its own way down ``DEPTH`` levels without a shuffle. Nodes of at most
-``NODE`` documents are compared exhaustively (by signature, then on full sets); larger ones
-are branched on, round by round. Pairs at the threshold are missed with a probability of
-(1 - 0.37)**24, about 1e-5, and more similar ones far less often.
+``NODE`` documents are compared exhaustively (by signature, then on full sets). Larger ones
+are compared in blocks of rows, as exhaustively, where that copies their rows at most about
+as often as branching would; what is larger yet is branched on, round by round, each node in
+``SUBTREES`` independent ways: in one way a pair at the threshold stays together with a
+probability of 0.37 only, in none of eight with 0.63**8, about 0.02. Pairs at the threshold are
+missed with a probability of (1 - 0.37)**24, about 1e-5, at the first ``DEPTH`` levels, which
+deeper rounds raise by less than a fifth, however many; more similar ones far less often.
 
 Work is saved only where it can't lose a link between components: equal sets are one
 class; before nodes are compared, each document is confirmed against the smallest document
 that it most often meets, and pairs inside a component that is already connected are not
 compared again; pairs are passed over when their sizes, or 128 minwise values, rule the
 threshold out (a chance below 1e-5). All links are confirmed on full sets. What is still
-too large after ``ROUNDS`` rounds is compared exactly in blocks of rows.
+too large after ``ROUNDS`` rounds is compared in blocks too.
 
 No task ever holds a node of unbounded size: sizes are counted first, with partial sums;
 only small nodes are gathered; large ones go through joins that adaptive execution splits.
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
@@ -51,6 +55,11 @@ COORDINATES = 128
 NODE = 2048
 ROUNDS = 8
 BLOCK = NODE // 2
+#: Independent ways in which an oversize node is branched on.
+SUBTREES = 8
+#: Copies of its rows, on average, up to which an oversize node is compared in blocks at once; in each
+#: later round so many times more, as its rows were copied before.
+COPIES = 16
 #: Shingles that the documents of such a node may have together.
 WEIGHT = 1 << 23
 #: Rows that are compared with a node's others at a time.
@@ -58,6 +67,7 @@ BAND = 128
 _MULTIPLIERS = S.stream(21, COORDINATES) | S.U(1)
 _OFFSETS = S.stream(22, COORDINATES)
 _ROOTS = S.stream(23, 4096)
+_WAYS = S.stream(24, SUBTREES)
 
 FEATURES = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary, nodes array<bigint>"
 
@@ -83,6 +93,11 @@ def descend(tokens: np.ndarray, rows: np.ndarray, nodes: np.ndarray, depth: int,
     return rows, nodes
 
 
+def ways(rows: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, node) pairs with each node once for every independent way to branch on it."""
+    return np.repeat(rows, SUBTREES), S.mix(nodes[:, None] ^ _WAYS[None, :]).ravel()
+
+
 def minwise(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Row x coordinate minwise hashes of sets that are not empty."""
     out = np.empty((len(offsets) - 1, COORDINATES), S.U)
@@ -149,9 +164,10 @@ def _branch(percent: int):
                 continue
             tokens = _matrix(batch)
             nodes = batch.column("node").to_numpy().view(S.U)
-            for at in range(0, len(nodes), 4096):
-                part = np.arange(at, min(at + 4096, len(nodes)))
-                rows, children = descend(tokens, part, nodes[part], DEPTH, percent)
+            step = 4096 // SUBTREES
+            for at in range(0, len(nodes), step):
+                part = np.arange(at, min(at + step, len(nodes)))
+                rows, children = descend(tokens, *ways(part, nodes[part]), DEPTH, percent)
                 kept = batch.select(["id", "n"]).take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), *kept.columns], ["node", "id", "n"])
 
@@ -218,7 +234,7 @@ def _contested(percent: int):
             for left, right in _close(_matrix(rows), size, comp, side, percent):
                 found[left] = found[right] = True
             if found.any():
-                yield from rows.select(["node", "id", "side"]).filter(pa.array(found)).combine_chunks().to_batches()
+                yield from rows.select(["node", "id", "side", "home"]).filter(pa.array(found)).combine_chunks().to_batches()
 
     return run
 
@@ -226,8 +242,8 @@ def _contested(percent: int):
 def _links(percent: int):
     """The links of each node's rows between different components, by 32 bits of each shingle.
 
-    A pair that meets in several nodes is compared in the one with the smallest number. Bits
-    that are the same by chance can only add pairs, which are confirmed on full sets later;
+    A pair that meets in several nodes is compared in the one with the smallest number; the
+    blocks of an oversize node are its, and as one node here (``home``). Bits that are the same by chance can only add pairs, which are confirmed on full sets later;
     shingles of one text that share their bits are allowed for.
     """
 
@@ -235,13 +251,13 @@ def _links(percent: int):
         for rows in _by_node(batches):
             if len(rows) < 2:
                 continue
-            here = rows.column("node")[0].as_py()
+            here = rows.column("home")[0].as_py()
             ids, comp, size, side = (rows.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
             sets = [np.frombuffer(x.as_buffer(), np.uint32) for c in rows.column("low").chunks for x in c]
-            met, across = _met_before(rows.column("nodes").to_pylist(), rows.column("sides").to_pylist(), here)
+            met = _met_before(rows.column("nodes").to_pylist(), here)
             out: list[tuple[int, int]] = []
             for left, right in _close(_matrix(rows), size, comp, side, percent):
-                new = ~(met[left] & across[right]).any(1)
+                new = ~(met[left] & met[right]).any(1)
                 for i, j in zip(left[new].tolist(), right[new].tolist()):
                     small, large = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
                     at = np.searchsorted(large, small)
@@ -256,23 +272,17 @@ def _links(percent: int):
     return run
 
 
-def _met_before(nodes: list[list[int]], sides: list[list[int]], here: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row a bit set of the (node, side) of the smaller nodes that it shares with any
-    other row, and one of those whose rows it is compared with there: of two blocks (sides 1
-    and 2) the other one, else the same. Two rows met before if one's first and the other's
-    second set share a bit."""
-    earlier = [[(v, s) for v, s in zip(*row) if v < here] for row in zip(nodes, sides)]
-    counts = Counter(v for row in earlier for v, _ in row)
-    shared = (v for v, n in counts.items() if n > 1)
-    places = {v: 3 * k for k, v in enumerate(shared)}
-    met = np.zeros((len(nodes), 3 * len(places) // 64 + 1), S.U)
-    across = np.zeros_like(met)
+def _met_before(nodes: list[list[int]], here: int) -> np.ndarray:
+    """For each row a bit set of the smaller nodes that it shares with any other row."""
+    earlier = [[v for v in row if v < here] for row in nodes]
+    counts = Counter(v for row in earlier for v in row)
+    places = {v: k for k, v in enumerate(v for v, n in counts.items() if n > 1)}
+    bits = np.zeros((len(nodes), len(places) // 64 + 1), S.U)
     for r, row in enumerate(earlier):
-        for v, side in row:
+        for v in row:
             if (k := places.get(v)) is not None:
-                for bits, at in ((met, k + side), (across, k + (0, 2, 1)[side])):
-                    bits[r, at >> 6] |= S.U(1 << (at & 63))
-    return met, across
+                bits[r, k >> 6] |= S.U(1 << (k & 63))
+    return bits
 
 
 def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,15 +385,18 @@ class _Join:
             mixed = rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node")
             rows = self.keep(rows.join(mixed, "node", "left_semi"), "open")
             fits = (F.col("size") <= NODE) & (F.col("weight") <= WEIGHT)
-            small = rows.where(fits).select("node", "id", "n", "sig", "comp", F.lit(0).alias("side"))
+            small = rows.where(fits).select("node", "id", "n", "sig", "comp", F.lit(0).alias("side"), F.col("node").alias("home"))
             large = rows.where(~fits)
-            more = large.limit(1).count() > 0
-            if more and round_ == ROUNDS:
-                small = small.unionByName(self.blocks(large))
-            self.compare(small)
-            if not more or round_ == ROUNDS:
+            if not large.limit(1).count():
+                self.compare(small)
+                return
+            plans = self.keep(self.planned(large), "plans")
+            at_once = F.lit(True) if round_ == ROUNDS else F.col("copies") <= COPIES ** (round_ + 1)
+            self.compare(small.unionByName(self.blocks(large.join(plans.where(at_once), "node"))))
+            deeper = plans.where(~at_once).select("node")
+            if not deeper.limit(1).count():
                 return
-            children = large.select("node", "id", "n", "sig").mapInArrow(_branch(self.percent), "node bigint, id bigint, n bigint")
+            children = large.join(deeper, "node", "left_semi").select("node", "id", "n", "sig").mapInArrow(_branch(self.percent), "node bigint, id bigint, n bigint")
             members = self.counted(children.distinct())
 
     def compare(self, small: DataFrame) -> None:
@@ -392,29 +405,44 @@ class _Join:
         def dealt(rows: DataFrame) -> DataFrame:
             return rows.repartition("node").sortWithinPartitions("node")
 
-        found = dealt(small).mapInArrow(_contested(self.percent), "node bigint, id bigint, side int")
+        found = dealt(small).mapInArrow(_contested(self.percent), "node bigint, id bigint, side int, home bigint")
         contested = self.keep(found, "contested")
-        own = F.collect_list(F.struct("node", "side"))  # a document's own nodes
-        lists = contested.groupBy("id").agg(own.alias("own")).select("id", F.col("own.node").alias("nodes"), F.col("own.side").alias("sides"))
+        lists = contested.groupBy("id").agg(F.collect_set("home").alias("nodes"))  # a document's own nodes
         rows = contested.join(lists, "id").join(self.info(), "id").join(self.sets.select("id", "low"), "id")
         self.confirm(dealt(rows).mapInArrow(_links(self.percent), "a bigint, b bigint").distinct())
 
-    def blocks(self, large: DataFrame) -> DataFrame:
-        """An oversize node as small nodes of two blocks each, for every pair of its blocks."""
-        dealt = large.withColumn("parts", F.ceil(F.greatest(F.col("size") / BLOCK, 2 * F.col("weight") / WEIGHT)).cast("int"))
-        dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    def planned(self, large: DataFrame) -> DataFrame:
+        """(node, main, a, b, copies) of oversize nodes: the component with most rows in it, the
+        blocks of its rows and those of the others, and how often blocks copy a row on average."""
+        each = large.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("held"))
+        main = F.max(F.struct("rows", "held", "comp")).alias("main")
+        nodes = each.groupBy("node").agg(main, F.sum("rows").alias("rows"), F.sum("held").alias("held"))
+
+        def parts(rows: Column, held: Column) -> Column:
+            return F.ceil(F.greatest(rows / BLOCK, 2 * held / WEIGHT)).cast("int")
+
+        rest = F.col("rows") - F.col("main.rows")
+        nodes = nodes.withColumn("a", parts(F.col("main.rows"), F.col("main.held"))).withColumn("b", parts(rest, F.col("held") - F.col("main.held")))
+        return nodes.select("node", F.col("main.comp").alias("main"), "a", "b", (F.col("b") + F.col("a") * rest / F.col("rows")).alias("copies"))
+
+    def blocks(self, planned: DataFrame) -> DataFrame:
+        """An oversize node as small nodes of two blocks each, for every pair of its blocks but
+        those of its main component, which hold no pair of different components."""
+        own = F.col("comp") == F.col("main")
+        key = F.xxhash64("id")
+        dealt = planned.withColumn("part", F.when(own, F.pmod(key, F.col("a"))).otherwise(F.col("a") + F.pmod(key, F.col("b"))).cast("int"))
+        other = F.explode(F.sequence(F.when(own, F.col("a")).otherwise(0), F.col("a") + F.col("b") - 1)).alias("other")
         both = dealt.select("node", "id", "n", "sig", "comp", "part", other)
         low, high = F.least("part", "other"), F.greatest("part", "other")
         side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
-        return both.select(F.xxhash64("node", low, high).alias("node"), "id", "n", "sig", "comp", side.cast("int").alias("side"))
+        return both.select(F.xxhash64("node", low, high).alias("node"), "id", "n", "sig", "comp", side.cast("int").alias("side"), F.col("node").alias("home"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text): ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
     join = _Join(docs, percent, trees)
     join.run()
-    join.drop("reps", "members", "open", "contested", "sets", "pairs", "links", "edges")
+    join.drop("reps", "members", "open", "plans", "contested", "sets", "pairs", "links", "edges")
     rows = join.features.select("doc_id", "n_shingles", "k1", "k2")
     classed = rows.join(join.classes, ["k1", "k2", "n_shingles"], "left")
     labelled = classed.join(join.labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -52,13 +52,13 @@ def test_oversize_nodes_are_branched_and_blocked(make, prose, monkeypatch):
     assert verdicts(nd.near_duplicates(docs, 85)) == brute(rows, 85)
 
 
-def look_alikes(pairs):
+def look_alikes(pairs, changed=(140,)):
     """A text that is linked with nothing, and linked pairs that look much like it and like each other."""
     base = [f"w{i}" for i in range(150)]
     texts = [" ".join(base)]
     for k in range(pairs):
         left = [f"v{k}x{i}" if i in (20, 60, 100) else w for i, w in enumerate(base)]
-        right = [f"u{k}" if i == 140 else w for i, w in enumerate(left)]
+        right = [f"u{k}x{i}" if i in changed else w for i, w in enumerate(left)]
         texts += [" ".join(left), " ".join(right)]
     return list(enumerate(texts))
 
@@ -73,6 +73,34 @@ def test_rows_of_one_block_meet_in_their_own_block_only(make, monkeypatch):
     assert verdicts(nd.near_duplicates(make([(i, t, None, None, None) for i, t in rows]), 85)) == want
 
 
+def test_deep_nodes_keep_pairs_near_the_threshold(make, monkeypatch):
+    rows = look_alikes(30, (125, 140))
+    want = brute(rows, 85)
+    assert len({c for _, c in want.values()}) == 31
+    docs = make([(i, t, None, None, None) for i, t in rows])
+    monkeypatch.setattr(nd, "NODE", 4)
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    monkeypatch.setattr(nd, "ROUNDS", 3)
+    assert verdicts(nd.near_duplicates(docs, 85)) == want
+    monkeypatch.setattr(nd, "COPIES", 0)
+    monkeypatch.setattr(nd, "ROUNDS", 1)
+    assert verdicts(nd.near_duplicates(docs, 85)) == want
+
+
+def test_branching_on_a_node_keeps_pairs_at_the_threshold():
+    draw = np.random.default_rng(3)
+    pairs = 400
+    sig = np.repeat(draw.integers(0, 256, (pairs, nd.COORDINATES), dtype=np.uint8), 2, axis=0)
+    sig[1::2] += (draw.random((pairs, nd.COORDINATES)) >= 0.85).astype(np.uint8)
+    node = np.repeat(draw.integers(-(2**62), 2**62, pairs), 2)
+    columns = [pa.array(node), pa.array(np.arange(2 * pairs)), pa.array(np.ones(2 * pairs, np.int64)), pa.array([x.tobytes() for x in sig], pa.binary())]
+    children = pa.Table.from_batches(nd._branch(85)([pa.RecordBatch.from_arrays(columns, ["node", "id", "n", "sig"])]))
+    met = {}
+    for child, i in zip(children.column("node").to_pylist(), children.column("id").to_pylist()):
+        met.setdefault((child, i // 2), set()).add(i)
+    assert len({pair for (_, pair), who in met.items() if len(who) == 2}) >= 0.95 * pairs
+
+
 def test_odd_rows(odd_docs):
     rows = nd.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
