@@ -17,106 +17,135 @@ it was.
 
 Defined cases: null text or role is the empty string; turns are ordered by turn number
 (nulls first), then role and text, and repeated turns stay; a record of no known layout,
-or null or broken JSON, has layout ``unknown`` and no turns; an empty conversation is the
-empty string; only roles that are exactly ``assistant`` count for the loss. A layout is
-judged by the first element of its array.
+or null or broken JSON, has layout ``unknown`` and no turns; of a field that a record has
+twice the first counts; an empty conversation is the empty string; only roles that are
+exactly ``assistant`` count for the loss. A layout is judged by the first element of its
+array. Texts may be as long as a cell: the JSON parser's own limit on strings is lifted. A
+conversation is one row, so all its turns together must fit into a cell of 2 GB; a longer
+one fails the job rather than being cut. Columns of the input keep their values: an output
+whose name is taken gets underscores behind it.
 """
 
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh, table
 
 END = "</turn>\n"
 LOSS_ROLE = "assistant"
-#: Names of roles in other layouts.
-ROLE_NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+#: The parser refuses strings of more than 20 million characters if it isn't told otherwise.
+WHOLE = {"maxStringLen": str((1 << 31) - 1)}
+TURNS = "array<struct<role:string,text:string>>"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """``paths``: the field paths that a record has; ``turns``: SQL over its JSON ``j``."""
+    """A declarative mapping to turns: either a list of elements (``listed``: the field, and its
+    elements' role, text and, if any, order), or a pair of questions and an answer. ``roles``:
+    names of roles in this layout and what they are called here."""
 
     name: str
-    paths: tuple[str, ...]
-    turns: str
+    listed: tuple[str, ...] = ()
+    asked: tuple[str, ...] = ()
+    answer: str = ""
+    roles: dict = field(default_factory=dict, hash=False)
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        """The field paths that a record of this layout has."""
+        if self.listed:
+            name, *inner = self.listed
+            return (name, *(f"{name}[].{x}" for x in inner))
+        return (*self.asked, self.answer)
 
     @property
     def fingerprint(self) -> str:
         return hashlib.md5(",".join(sorted(self.paths)).encode()).hexdigest()
 
 
-def _listed(name: str, field: str, role: str, text: str, order: str = "") -> Layout:
-    kind = f"array<struct<`{role}`:string,`{text}`:string{f',`{order}`:bigint' if order else ''}>>"
-    parsed = f"from_json(get_json_object(j, '$.{field}'), '{kind}')"
-    if order:
-        parsed = f"array_sort(transform({parsed}, x -> struct(x.`{order}` as o, x.`{role}` as r, x.`{text}` as t)))"
-        parsed = f"transform({parsed}, x -> struct(x.r as role, x.t as text))"
-    else:
-        parsed = f"transform({parsed}, x -> struct(x.`{role}` as role, x.`{text}` as text))"
-    paths = (field, f"{field}[].{role}", f"{field}[].{text}", *((f"{field}[].{order}",) if order else ()))
-    return Layout(name, paths, parsed)
+OTHER_NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+LAYOUTS = (
+    Layout("turns", listed=("turns", "role", "text", "turn")),
+    Layout("messages", listed=("messages", "role", "content")),
+    Layout("conversations", listed=("conversations", "from", "value"), roles=OTHER_NAMES),
+    Layout("dialog", listed=("dialog", "speaker", "utterance"), roles=OTHER_NAMES),
+    Layout("instruction_input", asked=("instruction", "input"), answer="output"),
+    Layout("instruction", asked=("instruction",), answer="output"),
+    Layout("prompt_completion", asked=("prompt",), answer="completion"),
+    Layout("prompt_response", asked=("prompt",), answer="response"),
+    Layout("question_answer", asked=("question",), answer="answer"),
+)
 
 
-def _pair(name: str, first: tuple[str, ...], second: str) -> Layout:
-    asked = ", ".join(f"nullif(get_json_object(j, '$.{f}'), '')" for f in first)
-    turns = (
-        f"array(struct('user' as role, concat_ws('\\n\\n', {asked}) as text), "
-        f"struct('assistant' as role, get_json_object(j, '$.{second}') as text))"
-    )
-    return Layout(name, (*first, second), turns)
+def _list_fields(layouts: tuple[Layout, ...]) -> list[str]:
+    return [x.listed[0] for x in layouts if x.listed]
 
 
-LAYOUTS = (
-    _listed("turns", "turns", "role", "text", "turn"),
-    _listed("messages", "messages", "role", "content"),
-    _listed("conversations", "conversations", "from", "value"),
-    _listed("dialog", "dialog", "speaker", "utterance"),
-    _pair("instruction_input", ("instruction", "input"), "output"),
-    _pair("instruction", ("instruction",), "output"),
-    _pair("prompt_completion", ("prompt",), "completion"),
-    _pair("prompt_response", ("prompt",), "response"),
-    _pair("question_answer", ("question",), "answer"),
-)
+def parsed(df: DataFrame, record: str, fields: str, elements: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """Adds ``fields``, a record's top fields, and ``elements``, those of its list (JSON as maps)."""
+    found = df.withColumn(fields, F.from_json(F.col(record), "map<string,string>", WHOLE))
+    listed = F.coalesce(*(F.try_element_at(F.col(fields), F.lit(f)) for f in _list_fields(layouts)), F.lit(None).cast("string"))
+    return found.withColumn(elements, F.from_json(listed, "array<map<string,string>>", WHOLE))
 
 
-def schema_fingerprint(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """MD5 of the sorted field paths of a JSON record that belong to any of ``layouts``."""
+def schema_fingerprint(fields: Column, elements: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """MD5 of the sorted field paths of a parsed record that belong to any of ``layouts``."""
     known = F.array(*(F.lit(p) for p in sorted({p for x in layouts for p in x.paths})))
-    fields = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-    fields = F.array_intersect(fields, F.transform(known, lambda p: F.split(p, r"\[\]", 2)[0]))
+    none = F.array().cast("array<string>")
+    tops = F.coalesce(F.map_keys(fields), none)
+    inner = F.coalesce(F.map_keys(F.get(elements, F.lit(0))), none)
+    lists = F.array(*(F.lit(f) for f in _list_fields(layouts)))
+    held = F.filter(lists, lambda f: F.array_contains(tops, f))
+    nested = F.transform(inner, lambda k: F.concat(F.get(held, F.lit(0)), F.lit("[]."), k))
+    return F.md5(F.array_join(F.array_sort(F.array_intersect(F.concat(tops, nested), known)), ","))
+
+
+def _turns(layout: Layout, fields: Column, elements: Column) -> Column:
+    """The turns (role, text) of a parsed record of this layout."""
+
+    def of(entry: Column, name: str) -> Column:
+        return F.try_element_at(entry, F.lit(name))
 
-    def nested(field: Column) -> Column:
-        first = F.call_function("get_json_object", record, F.concat(F.lit("$."), field, F.lit("[0]")))
-        inner = F.coalesce(F.json_object_keys(first), F.array().cast("array<string>"))
-        return F.concat(F.array(field), F.transform(inner, lambda k: F.concat(field, F.lit("[]."), k)))
+    if not layout.listed:
+        asked = F.concat_ws("\n\n", *(F.nullif(of(fields, f), F.lit("")) for f in layout.asked))
+        pair = F.array(F.struct(F.lit("user").alias("role"), asked.alias("text")), F.struct(F.lit("assistant").alias("role"), of(fields, layout.answer).alias("text")))
+        return pair.cast(TURNS)
+    _, role, text, *order = layout.listed
+    if not order:
+        return F.transform(elements, lambda x: F.struct(of(x, role).alias("role"), of(x, text).alias("text"))).cast(TURNS)
+    placed = F.transform(elements, lambda x: F.struct(of(x, order[0]).try_cast("bigint").alias("o"), of(x, role).alias("role"), of(x, text).alias("text")))
+    return F.transform(F.array_sort(placed), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).cast(TURNS)
 
-    paths = F.array_intersect(F.flatten(F.transform(fields, nested)), known)
-    return F.md5(F.array_join(F.array_sort(F.array_distinct(paths)), ","))
+
+def _canonical(layout: Layout):
+    """A turn without nulls and with the usual name of its role."""
+    names = F.create_map(*(F.lit(v) for pair in layout.roles.items() for v in pair)) if layout.roles else None
+
+    def turn(t: Column) -> Column:
+        role = F.coalesce(t["role"], F.lit(""))
+        known = role if names is None else F.coalesce(F.try_element_at(names, role), role)
+        return F.struct(known.alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
+
+    return turn
 
 
 def canonical_turns(df: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds ``schema_fingerprint``, ``layout`` and ``turns`` (array of role, text)."""
-    kind = "array<struct<role:string,text:string>>"
-    found = df.withColumn("schema_fingerprint", schema_fingerprint(F.col(record), layouts))
-    name, turns = F.lit("unknown"), F.lit(None).cast(kind)
+    fields, elements, mark = (fresh(df, c) for c in ("__fields", "__elements", "schema_fingerprint"))
+    found = parsed(df, record, fields, elements, layouts).withColumn(mark, schema_fingerprint(F.col(fields), F.col(elements), layouts))
+    name, turns = F.lit("unknown"), F.lit(None).cast(TURNS)
     for x in layouts:
-        hit = F.col("schema_fingerprint") == x.fingerprint
+        here = _turns(x, F.col(fields), F.col(elements))
+        hit = F.col(mark) == x.fingerprint
         name = F.when(hit, F.lit(x.name)).otherwise(name)
-        turns = F.when(hit, F.expr(x.turns.replace("(j,", f"(`{record}`,")).cast(kind)).otherwise(turns)
-    roles = F.create_map(*(F.lit(v) for pair in ROLE_NAMES.items() for v in pair))
-
-    def canonical(t: Column) -> Column:
-        role = F.coalesce(t["role"], F.lit(""))
-        return F.struct(F.coalesce(F.try_element_at(roles, role), role).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
-
-    turns = F.coalesce(F.transform(turns, canonical), F.array().cast(kind))
-    return found.withColumns({"layout": name, "turns": turns})
+        turns = F.when(hit, F.transform(here, _canonical(x))).otherwise(turns)
+    turns = F.coalesce(turns, F.array().cast(TURNS))
+    return found.withColumns({fresh(df, "layout"): name, fresh(df, "turns"): turns}).drop(fields, elements)
 
 
 def escape(text: Column) -> Column:
@@ -155,10 +184,11 @@ def format_turns(df: DataFrame, turns: str = "turns") -> DataFrame:
         return F.struct((start + size + len(END)).cast("int").alias("at"), spans.alias("spans"))
 
     empty = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    written = df.withColumn("__parts", parts)
-    text = F.array_join(F.transform("__parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
-    mask = F.aggregate("__parts", empty, add)["spans"]
-    return written.withColumns({"formatted": text, "loss_mask": mask}).drop("__parts")
+    held = fresh(df, "__parts")
+    written = df.withColumn(held, parts)
+    text = F.array_join(F.transform(held, lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
+    mask = F.aggregate(held, empty, add)["spans"]
+    return written.withColumns({fresh(df, "formatted"): text, fresh(df, "loss_mask"): mask}).drop(held)
 
 
 def parse_formatted(df: DataFrame, formatted: str = "formatted") -> DataFrame:
@@ -171,13 +201,46 @@ def parse_formatted(df: DataFrame, formatted: str = "formatted") -> DataFrame:
         text = F.substring(c, cut + 2, F.length(c))
         return F.struct(unescape_role(role).alias("role"), unescape(text).alias("text"))
 
-    return df.withColumn("read_turns", F.transform(chunks, turn))
-
-
-def records_of_turns(rows: DataFrame, key: str = "conv_id") -> DataFrame:
-    """A JSON record per conversation from a table with a row per turn."""
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.groupBy(key).agg(F.to_json(F.struct(F.sort_array(F.collect_list(turn)).alias("turns")), {"ignoreNullFields": "false"}).alias("record"))
+    return df.withColumn(fresh(df, "read_turns"), F.transform(chunks, turn))
+
+
+def records_of_turns(rows: DataFrame, key: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """(key, ``record``): a JSON record per conversation from a table with a row per turn.
+
+    Records are as heterogeneous as their sources would write them: each conversation is
+    written in one of the layouts that can hold it exactly, dealt out by its key. Pairs hold a
+    user and an assistant turn only; layouts with role names of their own hold no role that
+    is read as another.
+    """
+    turn = F.struct(F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    grouped = rows.groupBy(key).agg(F.sort_array(F.collect_list(turn)).alias("__turns"))
+    turns = F.col("__turns")
+    roles = F.transform(turns, lambda t: t["role"])
+    is_pair = roles == F.array(F.lit("user"), F.lit("assistant"))
+
+    def written(x: Layout) -> tuple[Column, Column]:
+        """Whether the layout can hold the conversation, and its record."""
+        if x.answer:
+            cells = [(turns[0]["text"] if i == 0 else F.lit("")).alias(f) for i, f in enumerate(x.asked)]
+            return is_pair, F.struct(*cells, turns[1]["text"].alias(x.answer))
+        name, role, text, *order = x.listed
+        called = {v: k for k, v in reversed(x.roles.items())}
+        names = F.create_map(*(F.lit(v) for pair in called.items() for v in pair)) if called else None
+
+        def entry(t: Column) -> Column:
+            own = t["role"] if names is None else F.coalesce(F.try_element_at(names, t["role"]), t["role"])
+            return F.struct(own.alias(role), t["text"].alias(text), *(t["turn"].alias(o) for o in order))
+
+        fits = ~F.exists(roles, lambda r: r.isin(*x.roles)) if x.roles else F.lit(True)
+        return fits, F.struct(F.transform(turns, entry).alias(name))
+
+    ways = [written(x) for x in layouts]
+    fitting = F.filter(F.array(*(F.when(ok, F.lit(i)) for i, (ok, _) in enumerate(ways))), lambda i: i.isNotNull())
+    chosen = grouped.withColumn("__way", F.get(fitting, F.pmod(F.xxhash64(key), F.size(fitting)).cast("int")))
+    record = F.lit(None).cast("string")
+    for i, (_, cells) in enumerate(ways):
+        record = F.when(F.col("__way") == i, F.to_json(cells, {"ignoreNullFields": "false"})).otherwise(record)
+    return chosen.select(key, record.alias("record"))
 
 
 #: The conversation that the query adds.

@@ -62,3 +62,44 @@ def test_query_on_odd_rows(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     rows = chat.op5_chat_formatting(spark, write(spark, tmp_path, conversations=spark.createDataFrame([], TURNS))).collect()
     assert [r["conv_id"] for r in rows] == [-7]
+
+
+def test_long_turn_is_whole(spark, tmp_path):
+    one = spark.range(1).selectExpr("cast(9 as bigint) AS conv_id", "cast(0 as bigint) AS turn", "'assistant' AS role", "repeat('xyz##', 5000000) AS text")
+    row = {r["conv_id"]: r for r in chat.op5_chat_formatting(spark, write(spark, tmp_path, conversations=one)).collect()}[9]
+    assert row["n_turns"] == 1 and row["loss_chars"] == 25_000_000 and row["loss_sha256"] == hashlib.sha256(b"xyz##" * 5_000_000).hexdigest()
+
+
+def plain(rows):
+    """The query's result by a plain version."""
+    groups = {}
+    for c, i, r, t in [*rows, (-7, 0, "user", chat.EXTRA_TEXT), (-7, 1, "assistant", chat.EXTRA_TEXT)]:
+        groups.setdefault(c, []).append((i is not None, i or 0, r or "", t or ""))
+    out = {}
+    for c, turns in groups.items():
+        turns.sort()
+        said = "".join(f"{r}\n{t}\n" for _, _, r, t in turns)
+        loss = "".join(t for _, _, r, t in turns if r == "assistant")
+        out[c] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def test_every_layout_is_read_back(spark, tmp_path):
+    rows = []
+    for c in range(400):
+        roles = (("user", "assistant"), ("user", "assistant"), ("system", "user", "assistant"), ("human", "gpt"), ("user", "model", "assistant"))[c % 5]
+        rows += [(c, i, r, f"text {c} {i} \\n\n\" # ### {{}} é" if (c + i) % 7 else None) for i, r in enumerate(roles)]
+    df = spark.createDataFrame(rows, TURNS)
+    layouts = {r["layout"] for r in chat.canonical_turns(chat.records_of_turns(df)).collect()}
+    assert layouts == {x.name for x in chat.LAYOUTS}
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.op5_chat_formatting(spark, write(spark, tmp_path, conversations=df)).collect()}
+    assert got == plain(rows)
+
+
+def test_clashing_columns_and_odd_records(spark):
+    records = ['{"turns":[1,2]}', '{"turns":"x"}', '{"turns":[]}', '{"messages":[{"role":"user","content":"a"}],"turns":null}', '{"prompt":"a","prompt":"b","answer":1,"response":null}', "[1]", ""]
+    df = spark.createDataFrame([(r, "mine", 1, "l") for r in records], "record string, turns string, layout int, formatted string")
+    done = chat.format_turns(chat.canonical_turns(df), "turns_")
+    rows = done.collect()
+    assert all(r["turns"] == "mine" and r["layout"] == 1 and r["formatted"] == "l" for r in rows)
+    assert {r["layout_"] for r in rows} == {"unknown"} and all(r["formatted_"] == "" for r in rows)
