@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only where none is set."""
+    """The shared folder of the session. Where none is set, local mode makes a temporary one; a
+    cluster has to name one, as its machines don't share their temporary folders."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="terracask-"))
     return context.getCheckpointDir().rstrip("/")
 
@@ -101,6 +104,22 @@ def bucket_of(value: float | None, bounds: Sequence[float]) -> int:
     return 0 if value is None else bisect.bisect_right(cuts, float(value))
 
 
+#: Copies that one task makes of a row.
+COPIES_AT_ONCE = 1 << 16
+
+
+def expanded(df: DataFrame, count: str, out: str) -> DataFrame:
+    """Each row ``count`` times, numbered from 0 in ``out``. Rows with very many copies are cut into
+    runs of ``COPIES_AT_ONCE`` first, which are dealt out over all tasks."""
+    n, most = F.col(count), F.lit(COPIES_AT_ONCE)
+    few = df.where((n > 0) & (n <= most)).withColumn(out, F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+    run = fresh(df, "__run")
+    runs = df.where(n > most).withColumn(run, F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, most.cast("bigint"))))
+    dealt = runs.repartition(shuffle_width(df.sparkSession), F.hash(*(F.col(c) for c in runs.columns)))
+    many = dealt.withColumn(out, F.explode(F.sequence(F.col(run), F.least(F.col(run) + most, n) - 1))).drop(run)
+    return few.unionByName(many)
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small driver-made table without a Python scan in the plan."""
     names = [part.split()[0] for part in schema.split(",")]

@@ -3,31 +3,40 @@
 A source's token share p becomes the weight p**a / sum(p**a). The exponent a, in steps of
 1/65536 from 0 (uniform) to 1 (as it is), is bisected twice: it is the largest one with
 which the weights' entropy reaches ``entropy_share`` of the maximum, or, if higher, the
-smallest one with which no source is passed over more than ``max_repeats`` times. The
+smallest one with which no source is passed over more than ``max_repeats`` times. A pass over
+the sources' totals tries 256 exponents at once, so two passes do for the sixteen halvings. The
 weights times the token budget are the sources' budgets. A source is laid out as one
 hash-ordered permutation of its documents after another, a new one per pass (epoch), until
 its budget is met; a document counts if it begins within the budget. The mixture is cut
 into blocks of about ``block_tokens`` tokens, each with every source at its weight: a
-document's block follows from how far into its source's budget it begins.
+document's block follows from how far into its source's budget it begins. A block's documents
+of all sources are put into one hash-ordered permutation, ``place`` being a document's number
+in it; blocks in order, and places in them, are the order of the mixture.
 
 Tokens are counted as white space separated words: spaces, tabs and line breaks plus one,
 in texts that are not empty.
 
+Only keys, counts and hashes are laid out; texts meet their places at last, in one shuffle.
 Running sums never stand in one task: rows are dealt out by source, epoch and hash range,
-and the ranges' totals give each its start, so a source with a third of all rows is split.
+and the ranges' totals give each its start, so a source with a third of all rows is split. The
+hash takes key and text, so rows that share a key (or have none) are split as well; rows that
+are equal in everything are counted first and laid out as one.
 
 Defined cases: null source is a source of its own; empty or null text has no tokens and
 is laid out but moves nothing; sources without any token have weight 0 and yield no rows;
-ties in the hash are ordered by key and tokens, repeated rows follow each other; an empty
-table gives an empty result; extra columns are carried along.
+ties in the hash are ordered by key, text hash and tokens, repeated rows follow each other; an
+empty table gives an empty result; extra columns are carried along and keep their values: an
+output whose name is taken gets underscores behind it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint_root, shuffle_width, table
+from .common import checkpoint_root, expanded, fresh, shuffle_width, table
 
 STEPS = 1 << 16
 ENTROPY_SHARE = 0.98
@@ -46,6 +55,39 @@ def token_count(text: Column) -> Column:
     return F.when(text == "", F.lit(0)).otherwise(F.length(text) - F.length(bare) + 1).cast("bigint")
 
 
+def _tried(totals: DataFrame, total: int, exponents: list[int]) -> dict[int, tuple[float, float, float]]:
+    """For each exponent k (in steps): the sum z of the tilted shares, their entropy and the worst
+    ratio of weight to share. One aggregate over the sources; a row per exponent comes back."""
+    p, a = F.col("t") / F.lit(float(total)), F.col("k") / F.lit(float(STEPS))
+    each = totals.select("t", F.explode(F.array(*map(F.lit, exponents))).alias("k"))
+    sums = each.groupBy("k").agg(F.sum(F.pow(p, a)).alias("z"), F.sum(F.pow(p, a) * F.ln(p)).alias("tilt"), F.max(F.pow(p, a - 1)).alias("worst"))
+    rows = sums.select("k", "z", F.ln("z") - a * F.col("tilt") / F.col("z"), F.col("worst") / F.col("z")).collect()
+    return {r[0]: (r[1], r[2], r[3]) for r in rows}
+
+
+def _exponent(totals: DataFrame, total: int, sources: int, passes: float, entropy_share: float, max_repeats: float) -> tuple[int, float]:
+    """The exponent in steps, and its sum of tilted shares. Entropy and repeats fall as it rises."""
+    least = entropy_share * math.log(sources)
+    tests = (lambda x: x[1] >= least, lambda x: passes * x[2] > max_repeats)
+    stride = 1 << 8
+    found = _tried(totals, total, list(range(0, STEPS + 1, stride)))
+
+    def last(test) -> int:
+        return max((k for k, x in found.items() if test(x)), default=-1)
+
+    starts = [last(t) for t in tests]
+    fine = sorted({k for s in starts if s >= 0 for k in range(s, min(s + stride, STEPS) + 1)} - set(found))
+    found |= _tried(totals, total, fine) if fine else {}
+    by_entropy, over = (last(t) for t in tests)
+    k = max(by_entropy, min(over + 1, STEPS) if over >= 0 else 0, 0)
+    if k not in found:
+        found |= _tried(totals, total, [k])
+    return k, found[k][0]
+
+
+WEIGHTS = "source_tokens bigint, weight double, exponent double, source_budget bigint, mixture_budget bigint"
+
+
 def source_weights(
     docs: DataFrame,
     source: str = "source",
@@ -54,93 +96,109 @@ def source_weights(
     max_repeats: float = MAX_REPEATS,
     budget: int | None = None,
 ) -> DataFrame:
-    """Per source: ``source_tokens``, ``weight``, ``exponent`` and ``source_budget``.
+    """Per source: ``source_tokens``, ``weight``, ``exponent``, ``source_budget`` and ``mixture_budget``.
 
     ``budget``: tokens of the mixture, as many as there are if not given.
     """
-    totals = docs.groupBy(F.col(source).alias("source")).agg(F.sum(tokens).alias("t")).where("t > 0")
-    row = totals.agg(F.sort_array(F.collect_list(F.struct("source", "t"))).alias("s"), F.sum("t").alias("total"))
-    row = row.withColumn("budget", F.lit(budget).cast("bigint") if budget else F.col("total"))
-    row = row.withColumn("p", F.expr("transform(s, x -> x.t / cast(total as double))")).where("total > 0")
-    alpha = f"(k / {float(STEPS)}D)"
-    norm = f"aggregate(p, 0D, (a, x) -> a + pow(x, {alpha}))"
-    tilt = f"aggregate(p, 0D, (a, x) -> a + pow(x, {alpha}) * ln(x))"
-    entropy = f"(ln({norm}) - {alpha} * {tilt} / {norm})"
-    repeats = f"(budget / cast(total as double) * array_max(transform(p, x -> pow(x, {alpha} - 1D))) / {norm})"
-
-    def bisect(holds: str, upper: str, lower: str) -> str:
-        """Of k in [0, STEPS]: keeps lo and hi around the change of ``holds``."""
-        mid = "cast(floor((s.lo + s.hi + 1) / 2) as int)"
-        test = holds.replace("(k /", f"({mid} /")
-        step = f"CASE WHEN s.lo = s.hi THEN s WHEN {test} THEN {upper.replace('MID', mid)} ELSE {lower.replace('MID', mid)} END"
-        return f"aggregate(sequence(1, 18), named_struct('lo', 0, 'hi', {STEPS}), (s, i) -> {step}, s -> s.lo)"
-
-    def bounds(lo: str, hi: str) -> str:
-        return f"named_struct('lo', {lo}, 'hi', {hi})"
-
-    # entropy falls with k: the largest k that still reaches the target
-    by_entropy = bisect(f"{entropy} >= {entropy_share}D * ln(size(p))", bounds("MID", "s.hi"), bounds("s.lo", "MID - 1"))
-    # repeats fall with k: the largest k that is over the limit, plus 1
-    over = bisect(f"{repeats} > {max_repeats}D", bounds("MID", "s.hi"), bounds("s.lo", "MID - 1"))
-    at_zero = f"{repeats.replace('(k /', '(0 /')} > {max_repeats}D"
-    solved = row.withColumns({"k_entropy": F.expr(by_entropy), "k_over": F.expr(over)})
-    solved = solved.withColumn("k_repeats", F.expr(f"CASE WHEN {at_zero} THEN least(k_over + 1, {STEPS}) ELSE 0 END"))
-    solved = solved.withColumn("k", F.greatest("k_entropy", "k_repeats")).withColumn("z", F.expr(norm))
-    listed = solved.select("k", "z", "budget", "total", F.inline("s"))
-    return listed.select(
+    checkpoint_root(docs.sparkSession)
+    totals = docs.groupBy(F.col(source).alias("source")).agg(F.sum(tokens).alias("t")).where("t > 0").checkpoint()
+    total, sources = totals.agg(F.sum("t"), F.count(F.lit(1))).first()
+    if not sources:
+        return totals.select("source", *(F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in WEIGHTS.split(", ")))
+    budget = budget or total
+    k, z = _exponent(totals, total, sources, budget / total, entropy_share, max_repeats)
+    weight = F.pow(F.col("t") / F.lit(float(total)), F.lit(k / STEPS)) / F.lit(z)
+    return totals.select(
         "source",
         F.col("t").alias("source_tokens"),
-        F.expr(f"pow(t / cast(total as double), {alpha}) / z").alias("weight"),
-        F.expr(alpha).alias("exponent"),
-        F.expr(f"cast(floor(pow(t / cast(total as double), {alpha}) / z * budget) as bigint)").alias("source_budget"),
-        F.col("budget").alias("mixture_budget"),
+        weight.alias("weight"),
+        F.lit(k / STEPS).alias("exponent"),
+        F.floor(weight * budget).cast("bigint").alias("source_budget"),
+        F.lit(budget).cast("bigint").alias("mixture_budget"),
     )
 
 
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED, block_tokens: int = BLOCK_TOKENS, **target) -> DataFrame:
-    """The mixture: documents with ``tokens``, ``weight``, ``epoch``, ``start`` (tokens of
-    the source's layout before it) and ``block``; a document has a row per pass."""
+def _draw(*parts: Column | int | str) -> Column:
+    """32 bits of a hash of the parts, nulls left out."""
+    listed = [p if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *listed)), 1, 8), 16, 10).cast("bigint")
+
+
+def _sums_before(df: DataFrame, groups: list[str], rank: str, ties: list[str], value: str, width: int, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over the group's earlier rows by ``rank``, which is spread
+    over [0, 2**32), and ``ties``. Rows are dealt out by group and range of ranks."""
+    dealt = df.withColumn("__part", F.floor(F.col(rank) * width / (1 << 32)).cast("int"))
+    parts = [*groups, "__part"]
+    sums = dealt.groupBy(*parts).agg(F.sum(value).alias("__sum"))
+    earlier = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*parts, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
+    own = Window.partitionBy(*parts).orderBy(rank, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    summed = dealt.withColumn("__own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+    return summed.join(starts, parts).withColumn(out, F.col("__start") + F.col("__own")).drop("__part", "__start", "__own")
+
+
+def layout(docs: DataFrame, key: str, source: str, text: str, seed: int = SEED, block_tokens: int = BLOCK_TOKENS, carry: tuple[str, ...] = (), **target) -> DataFrame:
+    """(key, source, tokens, weight, epoch, start, block, place, and ``carry``): a row per document and
+    pass, without its text. ``carry``: hashes by which the caller finds the rows again."""
     spark = docs.sparkSession
-    sized = docs.withColumn("tokens", token_count(F.col(text)))
-    weights, few = _counted(source_weights(sized, source, **target))
-    width = 4 * shuffle_width(spark)
-    weights = weights.withColumnRenamed("source", "__source")
-    joined = sized.join(F.broadcast(weights) if few else weights, F.col(source).eqNullSafe(F.col("__source")))
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    slim = docs.select(
+        F.col(key).alias("key"), F.col(source).alias("source"), token_count(F.col(text)).alias("tokens"), digest.alias("digest"), *(F.col(c).alias(f"carried{i}") for i, c in enumerate(carry))
+    )
+    carried = [f"carried{i}" for i in range(len(carry))]
+    weights, few = _counted(source_weights(slim, **target))
+    weights = weights.withColumnRenamed("source", "weighed")
+    counted = slim.groupBy(*slim.columns).agg(F.count(F.lit(1)).alias("n"))
+    joined = counted.join(F.broadcast(weights) if few else weights, F.col("source").eqNullSafe(F.col("weighed"))).drop("weighed")
     passes = F.expr("sequence(0, cast(greatest(ceil(source_budget / cast(source_tokens as double)), 1) - 1 as int))")
     laid = joined.where("source_budget > 0").withColumn("epoch", F.explode(passes))
-    rank = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), "epoch", F.col(key))), 1, 8), 16, 10).cast("bigint")
-    laid = laid.withColumn("__rank", rank).withColumn("__part", F.floor(F.col("__rank") * width / (1 << 32)).cast("int"))
-    parts = ["__source", "epoch", "__part"]
-    sums = laid.groupBy(*parts).agg(F.sum("tokens").alias("__sum"))
-    before = Window.partitionBy("__source", "epoch").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*(F.col(c).alias(f"{c}_") for c in parts), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
-    own = Window.partitionBy(*parts).orderBy("__rank", key, "tokens").rowsBetween(Window.unboundedPreceding, -1)
-    placed = laid.withColumn("__before", F.coalesce(F.sum("tokens").over(own), F.lit(0)))
-    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in parts]
-    placed = placed.join(offsets, same)
-    placed = placed.withColumn("start", F.expr("epoch * source_tokens + __offset + __before")).where("start < source_budget")
+    # a null source as a value, so that groups join and shuffle by plain equality
+    laid = laid.withColumns({"named": F.coalesce(F.col("source").cast("string"), F.lit("")), "unnamed": F.col("source").isNull()})
+    laid = laid.withColumns({"rank": _draw(seed, F.col("epoch"), F.col("key"), F.col("digest")), "held": F.col("tokens") * F.col("n")})
+    placed = _sums_before(laid, ["named", "unnamed", "epoch"], "rank", ["key", "digest", "tokens", *carried], "held", 4 * shuffle_width(spark), "before")
+    each = expanded(placed.where("epoch * source_tokens + before < source_budget"), "n", "copy")
+    each = each.withColumn("start", F.expr("epoch * source_tokens + before + copy * tokens")).where("start < source_budget")
     blocks = f"greatest(ceil(mixture_budget / {float(block_tokens)}D), 1)"
-    placed = placed.withColumn("block", F.expr(f"cast(floor(cast(start as double) / source_budget * {blocks}) as bigint)"))
-    return placed.select(*(c for c in docs.columns), "tokens", "weight", "epoch", "start", "block")
+    each = each.withColumn("block", F.expr(f"cast(floor(cast(start as double) / source_budget * {blocks}) as bigint)"))
+    each = each.select("key", "source", "tokens", "weight", "epoch", "start", "block", *carried).withColumn("one", F.lit(1))
+    each = each.withColumn("rank", _draw(seed, "place", *(F.col(c) for c in ("block", "source", "key", "epoch", "start"))))
+    done = _sums_before(each, ["block"], "rank", ["source", "key", "epoch", "start", "tokens", *carried], "one", shuffle_width(spark), "place")
+    return done.select("key", "source", "tokens", "weight", "epoch", "start", "block", F.col("place").cast("bigint").alias("place"), *(F.col(c).alias(n) for c, n in zip(carried, carry)))
+
+
+OUTPUTS = ("tokens", "weight", "epoch", "start", "block", "place")
+
+
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED, block_tokens: int = BLOCK_TOKENS, **target) -> DataFrame:
+    """The mixture: documents with ``tokens``, ``weight``, ``epoch``, ``start`` (tokens of
+    the source's layout before it), ``block`` and ``place``; a document has a row per pass."""
+    one, two = fresh(docs, "__hash1"), fresh(docs, "__hash2")
+    hashed = docs.withColumns({name: F.xxhash64(F.lit(i), *(F.col(c) for c in docs.columns)) for i, name in enumerate((one, two))})
+    laid = layout(hashed, key, source, text, seed, block_tokens, (one, two), **target)
+    laid = laid.select(one, two, *(F.col(c).alias(fresh(docs, c)) for c in OUTPUTS))
+    repeated = hashed.groupBy(one, two).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(one, two).checkpoint()
+    if repeated.limit(1).count():  # equal rows are laid out as one, so one of them meets all places
+        twins = hashed.join(repeated, [one, two], "left_semi").dropDuplicates([one, two])
+        hashed = hashed.join(repeated, [one, two], "left_anti").unionByName(twins)
+    return hashed.join(laid, [one, two]).drop(one, two)
 
 
 def _counted(weights: DataFrame) -> tuple[DataFrame, bool]:
-    """The weights, made once, and whether they are few enough to be broadcast."""
-    checkpoint_root(weights.sparkSession)
-    weights = weights.checkpoint()
+    """The weights, and whether they are few enough to be broadcast."""
     return weights, weights.count() <= BROADCAST_SOURCES
 
 
 def op3_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of all documents by source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "source", "tokens", F.round("weight", 6).alias("weight"), "epoch", "start", "block")
+    laid = layout(docs, "doc_id", "source", "text")
+    return laid.select(F.col("key").alias("doc_id"), "source", "tokens", F.round("weight", 6).alias("weight"), "epoch", "start", "block", "place")
 
 
 OP3_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE
-    length(text) - length(replace(replace(replace(text, ' ', ''), chr(10), ''), chr(9), '')) + 1 END::BIGINT AS tokens FROM documents),
+    length(text) - length(replace(replace(replace(text, ' ', ''), chr(10), ''), chr(9), '')) + 1 END::BIGINT AS tokens, md5(coalesce(text, '')) AS digest FROM documents),
 t AS (SELECT source, sum(tokens)::BIGINT AS t FROM d GROUP BY source HAVING sum(tokens) > 0),
 b AS (SELECT sum(t)::BIGINT AS total, count(*) AS n FROM t),
 ks AS (
@@ -155,14 +213,16 @@ w AS (
     floor(pow(t.t::DOUBLE / total, k / {float(STEPS)}) / z * total)::BIGINT AS budget
   FROM t, b, best JOIN ks USING (k)),
 e AS (
-  SELECT doc_id, d.source, tokens, weight, t, budget, total, unnest(range(greatest(ceil(budget / t::DOUBLE), 1)::BIGINT)) AS epoch
+  SELECT doc_id, d.source, tokens, digest, weight, t, budget, total, unnest(range(greatest(ceil(budget / t::DOUBLE), 1)::BIGINT)) AS epoch
   FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source WHERE budget > 0),
-r AS (SELECT *, ('0x' || substr(md5(concat_ws('|', '{SEED}', epoch, doc_id)), 1, 8))::BIGINT AS rank FROM e),
+r AS (SELECT *, ('0x' || substr(md5(concat_ws('|', '{SEED}', epoch, doc_id, digest)), 1, 8))::BIGINT AS rank FROM e),
 s AS (
-  SELECT *, epoch * t + coalesce(sum(tokens) OVER (PARTITION BY source, epoch ORDER BY rank, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM r)
-SELECT doc_id, source, tokens, round(weight, 6) AS weight, epoch::INTEGER AS epoch, start::BIGINT AS start,
-  floor(start::DOUBLE / budget * greatest(ceil(total / {float(BLOCK_TOKENS)}), 1))::BIGINT AS block
-FROM s WHERE start < budget
+  SELECT *, epoch * t + coalesce(sum(tokens) OVER (PARTITION BY source, epoch ORDER BY rank, doc_id, digest, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM r),
+k AS (SELECT *, floor(start::DOUBLE / budget * greatest(ceil(total / {float(BLOCK_TOKENS)}), 1))::BIGINT AS block FROM s WHERE start < budget),
+q AS (SELECT *, ('0x' || substr(md5(concat_ws('|', '{SEED}', 'place', block, source, doc_id, epoch, start::BIGINT)), 1, 8))::BIGINT AS place_rank FROM k)
+SELECT doc_id, source, tokens, round(weight, 6) AS weight, epoch::INTEGER AS epoch, start::BIGINT AS start, block,
+  (row_number() OVER (PARTITION BY block ORDER BY place_rank, source NULLS FIRST, doc_id NULLS FIRST, epoch, start, tokens) - 1)::BIGINT AS place
+FROM q
 """
 
 QUERIES = {"op3_temperature_mixing": op3_temperature_mixing}

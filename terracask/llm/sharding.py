@@ -6,8 +6,9 @@ all of them into the new shard, and there is no ring table to keep.
 
 Defined cases: a null key is treated as key 0; keys that are not integers are taken by
 their xxhash64; repeated rows go to one shard but get slots of their own; slots follow
-the order of the key (nulls first), then of the tie columns; an empty table gives an
-empty result. Extra columns are carried along.
+the order of the key (nulls first; keys that are not integers by their xxhash64), then of
+the tie columns; an empty table gives an empty result. Extra columns are carried along and
+keep their values: an output whose name is taken gets underscores behind it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, hot_keys, range_bounds, shuffle_width, table, with_bucket
+from .common import expanded, fresh, hot_keys, range_bounds, shuffle_width, table, with_bucket
 
 SHARDS = 16
 #: Fixed value of the published generator: its multiplier, in 16- and 32-bit limbs below.
@@ -68,45 +69,49 @@ def jump_hash(key: Column, shards: list[int]) -> Column:
 
 
 def key_of(df: DataFrame, key: str) -> Column:
+    """The key as bigint, null as it is."""
     kind = df.schema[key].dataType.simpleString()
     whole = F.col(key).cast("bigint") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(F.col(key))
-    return F.when(F.col(key).isNull(), F.lit(0).cast("bigint")).otherwise(whole)
+    return F.when(F.col(key).isNotNull(), whole)
 
 
 def with_slots(df: DataFrame, group: str, key: str, ties: list[str], out: str) -> DataFrame:
-    """Adds ``out``: gapless numbers from 0 within each ``group``, in ``key`` order.
+    """Adds ``out``: gapless numbers from 0 within each ``group`` (never null), in ``key`` order.
 
-    Rows are numbered within (group, key range); the ranges' counts, a small table, give
-    each range its first number. A key so frequent that it fills ranges by itself is
-    split into parts, as the order of its rows is free.
+    For slim rows: equal ones are counted first and numbered as one, so they may be any share
+    of the table. The counted rows are numbered within (group, key range); the ranges' counts,
+    a small table, give each range its first number. A key so frequent that it fills ranges by
+    itself is split by the first of ``ties``, a hash spread over [0, 2**32).
     """
     spark = df.sparkSession
-    bounds = range_bounds(df, key, 2 * shuffle_width(spark))
+    order, range_, part, n, before, start, copy, row_start = (fresh(df, c) for c in ("__order", "__range", "__part", "__n", "__before", "__start", "__copy", "__row"))
+    ordered = df.withColumn(order, key_of(df, key))
+    bounds = range_bounds(ordered, order, 2 * shuffle_width(spark))
     hot = hot_keys(bounds)
-    dealt = with_bucket(df, key, bounds, "__range")
-    value = F.col(key).cast("double")
+    counted = ordered.groupBy(*ordered.columns).agg(F.count(F.lit(1)).alias(n))
+    dealt = with_bucket(counted, order, bounds, range_)
     # Within a range whose lower end is a hot key, that key comes first.
-    is_hot = F.coalesce(value.isin(hot), F.lit(False)) if hot else F.lit(False)
-    nulls = F.col(key).isNull()
-    part = F.when(is_hot | nulls, F.pmod(F.monotonically_increasing_id(), F.lit(TIE_PARTS))).otherwise(F.lit(TIE_PARTS))
-    dealt = dealt.withColumn("__part", part.cast("int"))
-    parts = [group, "__range", "__part"]
-    counts = dealt.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(group).orderBy("__range", "__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*parts, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    within = Window.partitionBy(*parts).orderBy(F.col(key).asc_nulls_first(), *(F.col(c).asc_nulls_first() for c in ties))
-    numbered = dealt.withColumn("__row", F.row_number().over(within) - 1)
-    # groups x ranges x parts rows: bounded by the number of shards and of shuffle partitions
-    joined = numbered.join(F.broadcast(starts), parts)
-    return joined.withColumn(out, (F.col("__row") + F.col("__start")).cast("bigint")).drop("__row", "__start", "__range", "__part")
+    is_hot = F.coalesce(F.col(order).cast("double").isin(hot), F.lit(False)) if hot else F.lit(False)
+    split = F.floor(F.coalesce(F.col(ties[0]), F.lit(0)) * TIE_PARTS / (1 << 32))
+    dealt = dealt.withColumn(part, F.when(is_hot | F.col(order).isNull(), split).otherwise(F.lit(TIE_PARTS)).cast("int"))
+    parts = [group, range_, part]
+    counts = dealt.groupBy(*parts).agg(F.sum(n).alias(n))
+    earlier = Window.partitionBy(group).orderBy(range_, part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*parts, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(start))
+    rest = [c for c in df.columns if c not in (*ties, group)]
+    within = Window.partitionBy(*parts).orderBy(*(F.col(c).asc_nulls_first() for c in (order, *ties, *rest))).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = dealt.withColumn(before, F.coalesce(F.sum(n).over(within), F.lit(0)))
+    placed = numbered.join(starts, parts).withColumn(row_start, F.col(start) + F.col(before))
+    slot = (F.col(row_start) + F.col(copy)).cast("bigint").alias(fresh(df, out))
+    return expanded(placed.select(*df.columns, n, row_start), n, copy).select(*df.columns, slot)
 
 
 def shard(df: DataFrame, key: str = "doc_id", shards: int = SHARDS) -> DataFrame:
     """``df`` with ``shard``, its shard, and ``grown_shard``, that with one shard more."""
-    both = jump_hash(key_of(df, key), [shards, shards + 1])
+    both = fresh(df, "__both")
+    walked = df.withColumn(both, jump_hash(F.coalesce(key_of(df, key), F.lit(0).cast("bigint")), [shards, shards + 1]))
     names = fresh(df, "shard"), fresh(df, "grown_shard")
-    placed = df.withColumn("__both", both)
-    return placed.withColumns({n: F.col("__both")[i].cast("int") for i, n in enumerate(names)}).drop("__both")
+    return walked.withColumns({n: F.col(both)[i].cast("int") for i, n in enumerate(names)}).drop(both)
 
 
 def op4_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
