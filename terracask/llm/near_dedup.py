@@ -28,7 +28,9 @@ only small nodes are gathered; large ones go through joins that adaptive executi
 Defined cases: null or wordless text is an empty set, linked with nothing; repeated rows
 are equal sets; rows that share an id count as one document with the sets of all of them;
 rows with null id are linked with nothing, their component_id is null and they are kept;
-an empty table gives an empty result; extra columns are carried along by ``drop_near_duplicates``.
+an empty table gives an empty result. ``drop_near_duplicates`` judges rows, not ids: of rows
+that share an id, those whose own text repeats a smaller id's go and the others stay, once
+each if their texts are equal; extra columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -69,7 +71,7 @@ _OFFSETS = S.stream(22, COORDINATES)
 _ROOTS = S.stream(23, 4096)
 _WAYS = S.stream(24, SUBTREES)
 
-FEATURES = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary, nodes array<bigint>"
+FEATURES = "doc_id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint, sig binary, nodes array<bigint>"
 
 
 # ----------------------------------------------------------------- branching
@@ -143,13 +145,14 @@ def _features(percent: int, trees: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
+                        batch.column("mark"),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(k1.view(np.int64)),
                         pa.array(k2.view(np.int64)),
                         pa.array(sigs, pa.binary()),
                         pa.array(paths, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "k1", "k2", "sig", "nodes"],
+                    ["doc_id", "mark", "n_shingles", "k1", "k2", "sig", "nodes"],
                 )
 
     return run
@@ -323,7 +326,8 @@ class _Join:
         self.spark, self.percent = docs.sparkSession, percent
         self.paths: list[str] = []
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-        self.features = self.keep(self.docs.mapInArrow(_features(percent, trees), FEATURES), "features")
+        marked = self.docs.withColumn("mark", F.xxhash64("text"))
+        self.features = self.keep(marked.mapInArrow(_features(percent, trees), FEATURES), "features")
         linked = self.features.where("n_shingles > 0 AND doc_id IS NOT NULL")
         same = linked.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
         self.classes = self.keep(same, "classes")
@@ -438,29 +442,40 @@ class _Join:
         return both.select(F.xxhash64("node", low, high).alias("node"), "id", "n", "sig", "comp", side.cast("int").alias("side"), F.col("node").alias("home"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+def _verdicts(docs: DataFrame, percent: int, trees: int) -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, kept) per row; ``mark`` is the hash of its text."""
     join = _Join(docs, percent, trees)
     join.run()
     join.drop("reps", "members", "open", "plans", "contested", "sets", "pairs", "links", "edges")
-    rows = join.features.select("doc_id", "n_shingles", "k1", "k2")
+    rows = join.features.select("doc_id", "mark", "n_shingles", "k1", "k2")
     classed = rows.join(join.classes, ["k1", "k2", "n_shingles"], "left")
     labelled = classed.join(join.labels.withColumnRenamed("node", "rep"), "rep", "left")
     whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return labelled.select("doc_id", "n_shingles", whole.alias("component_id")).withColumn(
+    return labelled.select("doc_id", "mark", "n_shingles", whole.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text): ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+    return _verdicts(docs, percent, trees).drop("mark")
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
-    """``docs`` with one document of each group; of repeated rows with one id, one row."""
-    verdicts = near_duplicates(docs, percent, trees)
-    gone = verdicts.where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    salt = fresh(docs, "__salt")
-    # null ids are no repeats of each other
-    salted = left.withColumn(salt, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    return salted.dropDuplicates(["doc_id", salt]).drop(salt)
+    """``docs`` with one document of each group; of repeated rows with one id, one row.
+
+    Texts move only where rows of one id and text occur more than once, or where the rows to
+    drop are too many for a broadcast."""
+    key, mark = fresh(docs, "__id"), fresh(docs, "__mark")
+    marked = docs.withColumns({key: F.col("doc_id").cast("bigint"), mark: F.xxhash64("text")})
+    verdicts = _verdicts(docs, percent, trees).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key), F.col("mark").alias(mark))
+    judged, _ = write_table(docs.sparkSession, verdicts.agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR n > 1"), "verdicts")
+    left = marked.join(judged.where("NOT kept").select(key, mark), [key, mark], "left_anti")
+    repeated = judged.where("kept").select(key, mark)
+    if repeated.limit(1).count():
+        once = left.join(repeated, [key, mark], "left_semi").dropDuplicates([key, mark])
+        left = left.join(repeated, [key, mark], "left_anti").unionByName(once)
+    return left.select(*docs.columns)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

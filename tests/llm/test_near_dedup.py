@@ -140,3 +140,12 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
     labels, _ = components(spark, edges)
     assert {r["comp"] for r in labels.where("node <= 60").collect()} == {0} and labels.where("node = 101").first()["comp"] == 100
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(make):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (2, b, "en", "t", 1), (3, c, "en", "s", 1), (None, a, None, None, None), (None, a, None, None, None)]
+    clashing = make(rows).selectExpr("*", "1 AS __id", "2 AS kept", "3 AS mark", "4 AS n", "5 AS component_id")
+    left = nd.drop_near_duplicates(clashing)
+    assert left.columns == clashing.columns
+    assert sorted((r["doc_id"] or 0, r["text"][0]) for r in left.collect()) == [(0, "a"), (0, "a"), (1, "a"), (2, "b"), (3, "c")]
