@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next stage's ``docs``. All but the last return the columns of
 ``documents``; ``shard`` adds the shard. Empty tables, null columns and repeated rows are
-handled as each operator's docstring states.
+handled as each operator's docstring states, further columns are carried along whatever
+their names; if ``shard`` is taken, the last stage's column gets underscores behind it.
 """
 
 from __future__ import annotations
@@ -11,17 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terracask.llm import decontam, langid, mixing, near_dedup, sharding
-from terracask.llm.common import table, write_table
+from terracask.llm.common import fresh, table, write_table
 
 #: Near duplicates share at least 80 hundredths of their five-word shingles.
 PERCENT = 80
 
 
+#: The least probability, among the learnt languages, with which a document's language counts as known.
+LEAST_SCORE = 0.5
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a determinable language (no text, or no letter in it)."""
+    """Drops documents whose language is not known: without text or letters, or with a predicted
+    language whose probability is below ``LEAST_SCORE``. The languages are those of the labels;
+    without any label there is nothing to judge by, and all documents stay."""
     model = langid.fit(docs)
-    guessed = langid.predict(docs, model, out="__lang", score="__score")
-    return guessed.where(guessed["__lang"] != langid.UNDETERMINED).select(*docs.columns)
+    if not model.langs:
+        return docs
+    lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+    guessed = langid.predict(docs, model, out=lang, score=score)
+    return guessed.where((guessed[lang] != langid.UNDETERMINED) & (guessed[score] >= LEAST_SCORE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the shard of each document, by its id."""
-    return sharding.shard(docs).select(*docs.columns, "shard")
+    return sharding.shard(docs).select(*docs.columns, fresh(docs, "shard"))
 
 
 STAGES = [
