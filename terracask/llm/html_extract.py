@@ -9,8 +9,10 @@ rule with a fixed seed: many layouts, each block's label known.
 
 Defined cases: null or empty HTML, or a page without any main block, gives an empty text;
 white space is that of ASCII; white space inside a block, line breaks included, becomes one
-space; unclosed tags, comments and attributes are read as browsers do or left out; repeated
-rows are extracted each; an empty table gives an empty result; extra columns are carried.
+space; unclosed tags, comments and attributes are read as browsers do or left out; pages may be
+of any length and nesting, reading and labelling them is linear; repeated rows are extracted
+each; an empty table gives an empty result; extra columns are carried and keep their values: an
+output whose name is taken gets underscores behind it.
 """
 
 from __future__ import annotations
@@ -26,39 +28,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shingles as S
-from .common import table
-from .dom import Block, blocks
+from .common import fresh, table
+from .dom import Block, Node, blocks
 
 #: Labelled pages that the model is trained on, and passes over them.
 PAGES = 500
 EPOCHS = 12
-SECTIONS = frozenset("article main nav header footer aside form section".split())
 PHRASES = ("cookie", "copyright", "©", "subscribe", "sign up", "log in", "newsletter", "all rights", "privacy", "share", "reply", "advert", "sponsored")
-CONTEXTS = 1 << 16
 
 
 # ------------------------------------------------------------------- features
 
 
-def chain_features(chain: tuple[str, ...]) -> list[str]:
-    tags = [e.partition(".")[0] for e in chain]
-    words = {w for e in chain for w in e.split(".")[1:]}
-    near = next((t for t in reversed(tags) if t in SECTIONS), "none")
-    named = next((e for e in reversed(chain) if "." in e), "")
-    out = ["bias", f"near={near}", f"tag={tags[-1] if tags else 'none'}"]
-    out += [f"in={t}" for t in sorted(set(tags))] + [f"word={w}" for w in sorted(words)]
-    out += [f"named={w}" for w in sorted(set(named.split(".")[1:]))]
+def own_features(node: Node) -> list[str]:
+    """What the innermost element tells by itself."""
+    return ["bias", f"near={node.near}", f"tag={node.tag}", *(f"named={w}" for w in node.named)]
+
+
+def chain_features(node: Node) -> list[str]:
+    """All features of a block's ancestors, each tag and word once."""
+    out = own_features(node)
+    while node.parent is not None:
+        out += node.added
+        node = node.parent
     return out
 
 
 def text_features(block: Block) -> list[str]:
     text = block.text
-    n = text.count(" ") + 1
     share = block.link_chars / max(1, len(text))
-    low = text.lower() if n < 40 else ""
-    out = [f"words={min(6, int(math.log2(n)))}", f"links={'no' if share == 0 else 'few' if share < 0.4 else 'many' if share < 0.9 else 'all'}"]
+    low = text.lower()
+    size = min(6, int(math.log2(text.count(" ") + 1)))
+    out = [f"words={size}", f"links={'no' if share == 0 else 'few' if share < 0.4 else 'many' if share < 0.9 else 'all'}"]
     out.append("stop" if text[-1] in ".!?:;\"')»”…。" else "open")
-    out += [f"has={p}" for p in PHRASES if p in low]
+    out += [f"has={p}/{size}" for p in PHRASES if p in low]  # what a phrase tells depends on how long the text is
     return out
 
 
@@ -70,16 +73,21 @@ class Crf:
 
     def __init__(self, weights: dict[str, float], moves: list[list[float]], start: list[float]):
         self.weights, self.moves, self.start = weights, moves, start
-        self.contexts: dict[tuple[str, ...], float] = {}
+
+    def chain_score(self, node: Node) -> float:
+        """The weight of all features of a block's ancestors; each element adds to those around it."""
+        w = self.weights
+        open_, at = [], node
+        while at is not None and at.score is None:
+            open_.append(at)
+            at = at.parent
+        for n in reversed(open_):
+            n.score = (n.parent.score if n.parent is not None else 0.0) + sum(w.get(f, 0.0) for f in n.added)
+        return node.score + sum(w.get(f, 0.0) for f in own_features(node))
 
     def score(self, block: Block) -> float:
-        known = self.contexts.get(block.chain)
         w = self.weights
-        if known is None:
-            if len(self.contexts) > CONTEXTS:
-                self.contexts.clear()
-            known = self.contexts[block.chain] = sum(w.get(f, 0.0) for f in chain_features(block.chain))
-        return known + sum(w.get(f, 0.0) for f in text_features(block))
+        return self.chain_score(block.node) + sum(w.get(f, 0.0) for f in text_features(block))
 
     def decode(self, sequence: list[Block]) -> list[int]:
         """The likeliest labels (Viterbi)."""
@@ -133,7 +141,7 @@ def train(pages: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS, rate
     weights: dict[str, float] = {}
     squares: dict = {}
     moves, start = [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0]
-    ready = [([chain_features(b.chain) + text_features(b) for b in seq], labels) for seq, labels in pages if seq]
+    ready = [([chain_features(b.node) + text_features(b) for b in seq], labels) for seq, labels in pages if seq]
 
     def step(key, gradient: float) -> float:
         squares[key] = squares.get(key, 1e-6) + gradient * gradient
@@ -193,9 +201,16 @@ def labelled_pages(pages: int = PAGES, seed: int = 7) -> list[tuple[list[Block],
         return " ".join(word() for _ in range(draw.randint(low, high)))
 
     def prose() -> str:
+        text = plain_prose()
+        if draw.random() < 0.15:  # ordinary prose has words of notices, too
+            at = draw.choice([i for i, c in enumerate(text + " ") if c == " "])
+            text = f"{text[:at]} {draw.choice(PHRASES)}{text[at:]}"
+        return text
+
+    def plain_prose() -> str:
         kind = draw.random()
         if kind < 0.62:
-            return ". ".join(words(4, 14) for _ in range(draw.randint(1, 6))).capitalize() + "."
+            return ". ".join(words(4, 14) for _ in range(draw.choice((1, 2, 3, 4, 6, 12)))).capitalize() + "."
         if kind < 0.74:
             return words(1, 4).capitalize() + "."
         if kind < 0.82:
@@ -220,6 +235,10 @@ def labelled_pages(pages: int = PAGES, seed: int = 7) -> list[tuple[list[Block],
             return f"<p><b>{text}<br>"
         return f"<p>{text}</p>" if form < 0.9 else f"<p>{text}"
 
+    def heading(text: str) -> str:
+        tag = draw.choice(("h2", "h2", "h3", "h4"))
+        return f"<{tag}>{text}</{tag}>"
+
     def boilerplate(kind: str) -> str:
         if kind in ("nav", "share"):
             items = "".join(f'<li><a href="/{word()}">{words(1, 2)}</a></li>' for _ in range(draw.randint(2, 7)))
@@ -231,13 +250,13 @@ def labelled_pages(pages: int = PAGES, seed: int = 7) -> list[tuple[list[Block],
         elif kind == "form":
             inner = f"<label>{words(1, 3)}</label><input name=q><select><option>{word()}</option><option>{word()}</option></select><button>{words(1, 2)}</button>"
         elif kind == "comments":
-            inner = f"<h3>{draw.choice(('Comments', 'Replies', words(1, 2)))}</h3>" + "".join(
+            inner = heading(draw.choice(("Comments", "Replies", words(1, 2)))) + "".join(
                 f'<div class="comment"><p>{words(1, 2)} wrote:</p>{paragraph(prose())}</div>' if draw.random() < 0.7 else f"<li>{prose()}</li>" for _ in range(draw.randint(1, 4))
             )
         else:
             inner = prose() if draw.random() < 0.6 else "".join(f"<p>{prose()}</p>" for _ in range(draw.randint(1, 3)))
             if kind == "aside":
-                inner = f"<h3>{words(1, 3)}</h3>" + inner
+                inner = heading(words(1, 3)) + inner
         return wrap(draw.choice(BOILERPLATE[kind]), inner)
 
     def main_part() -> str:
@@ -245,7 +264,7 @@ def labelled_pages(pages: int = PAGES, seed: int = 7) -> list[tuple[list[Block],
         if kind < 0.72:
             return paragraph(prose())
         if kind < 0.8:
-            return f"<h2>{words(1, 6).capitalize()}</h2>"
+            return heading(words(1, 6).capitalize())
         if kind < 0.87:
             return "<ul>" + "".join(f"<li>{prose()}</li>" for _ in range(draw.randint(1, 4))) + "</ul>"
         if kind < 0.91:
@@ -302,7 +321,7 @@ def extract_text(page: str | None, model: Crf) -> str:
 
 def extract(df: DataFrame, model: Crf | None = None, html: str = "html", out: str = "text") -> DataFrame:
     """Adds ``out``, the main text of each page."""
-    model = model or built_in()
+    model, out = model or built_in(), fresh(df, out)
     shared = df.sparkSession.sparkContext.broadcast((model.weights, model.moves, model.start))  # a few hundred features
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     names = schema.names
