@@ -9,28 +9,31 @@ which is verified against the item's and the document's full shingle sets: it co
 the share of the item's distinct shingles that the document has is ``THRESHOLD`` or more.
 At the threshold a copy is missed with a probability below 1e-5.
 
-The index holds the items, not the documents, and goes to each task. Items are indexed in
-blocks of at most ``BLOCK_SHINGLES`` words; more items mean more passes over the
-documents, never a larger index.
+Items of the same words are one class, named by its smallest id and looked for once; the
+members are in ``item_classes``. The index holds classes, not documents, and goes to each task.
+They are indexed in blocks of at most ``BLOCK_SHINGLES`` words, one block at the driver at a time;
+more items mean more passes over the documents, never a larger index.
 
 Defined cases: words are runs of ASCII letters and digits and of all other non-ASCII
 characters, A-Z as a-z; an item of fewer than ``WORDS`` words is one shingle of its whole
 length and is looked for as such; null or empty items and documents match nothing; ids may
 be null or repeated and are returned as they are; other columns are not looked at; an
-empty table gives an empty result.
+empty table gives an empty result. ``drop_leaks`` judges each row by its own text, whatever
+its id, and carries all columns along.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import table
+from .common import ascii_lower, table
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -39,17 +42,18 @@ BLOCK_SHINGLES = 1 << 20
 _MULTIPLIERS = S.stream(61, HASHES) | S.U(1)
 _OFFSETS = S.stream(62, HASHES)
 
-HIT_SCHEMA = "doc_id bigint, item_id bigint, n_shingles bigint, shared bigint, containment double"
+HIT_SCHEMA = "doc_id bigint, item_id bigint, n_items bigint, n_shingles bigint, shared bigint, containment double"
 
 
 class Index:
-    """A block of items: their shingle sets, and minwise values by size class."""
+    """A block of item classes (id, members, text): their shingle sets, and minwise values by size class."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], k: int = WORDS):
-        texts = pa.array([t for _, t in items], pa.large_string())
+    def __init__(self, items: list[tuple[int | None, int, str | None]], k: int = WORDS):
+        texts = pa.array([t for *_, t in items], pa.large_string())
         raw, at = S.text_bytes(texts)
         hashes, word_at = S.words(raw, at, S.ALPHANUMERIC)
-        self.ids = [i for i, _ in items]
+        self.ids = [i for i, *_ in items]
+        self.members = [n for _, n, _ in items]
         self.words = np.diff(word_at)
         values, offsets = S.distinct(*S.shingles(hashes, word_at, k))
         self.sets = [values[offsets[i] : offsets[i + 1]] for i in range(len(items))]
@@ -114,31 +118,65 @@ def _blocks(offsets: np.ndarray, sizes: np.ndarray, stride: int) -> tuple[np.nda
     return offsets[:-1][rows] + (np.arange(len(rows)) - first[rows]) * stride, rows
 
 
+def _hits(index: Index, threshold: float, column: pa.Array) -> Iterator[tuple[int, int, int]]:
+    """(row, item, shared shingles) of the texts that hold an item, verified on full sets."""
+    hashes, word_at = S.words(*S.text_bytes(column), S.ALPHANUMERIC)
+    values, offsets = S.shingles(hashes, word_at, index.k)
+    for r, i in sorted(index.candidates(values, offsets) | index.short_candidates(hashes, word_at)):
+        item = index.sets[i]
+        shared = 1 if index.words[i] < index.k else int(np.isin(item, values[offsets[r] : offsets[r + 1]]).sum())
+        if shared >= threshold * len(item):
+            yield r, i, shared
+
+
 def _search(index: Index, threshold: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [part.split()[0] for part in HIT_SCHEMA.split(", ")]
+        kinds = [pa.int64()] * 5 + [pa.float64()]
         for whole in batches:
             for batch in S.slices(whole, "text"):
                 ids = batch.column("doc_id")
-                hashes, word_at = S.words(*S.text_bytes(batch.column("text")), S.ALPHANUMERIC)
-                values, offsets = S.shingles(hashes, word_at, index.k)
-                rows = []
-                for r, i in sorted(index.candidates(values, offsets) | index.short_candidates(hashes, word_at)):
-                    item = index.sets[i]
-                    if index.words[i] < index.k:
-                        shared = 1
-                    else:
-                        shared = int(np.isin(item, values[offsets[r] : offsets[r + 1]]).sum())
-                    if shared >= threshold * len(item):
-                        rows.append((ids[r].as_py(), index.ids[i], len(item), shared, shared / len(item)))
+                rows = [(ids[r].as_py(), index.ids[i], index.members[i], len(index.sets[i]), n, n / len(index.sets[i])) for r, i, n in _hits(index, threshold, batch.column("text"))]
                 if rows:
-                    names = [part.split()[0] for part in HIT_SCHEMA.split(", ")]
-                    kinds = [pa.int64()] * 4 + [pa.float64()]
-                    columns = [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names)
 
     return search
 
 
+def _clean(index: Index, threshold: float, text: str):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in S.slices(whole, text):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[r for r, *_ in _hits(index, threshold, batch.column(text))]] = False
+                if keep.any():
+                    yield batch if keep.all() else batch.filter(pa.array(keep))
+
+    return clean
+
+
+def _words(text: Column) -> Column:
+    """A text's words, one space between them."""
+    return F.trim(F.regexp_replace(ascii_lower(text), r"[^0-9a-z\x{80}-\x{10FFFF}]+", " "))
+
+
+def item_classes(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(item_id, class_id, words): each item that has words, and the smallest id of those with the same words."""
+    items = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), _words(F.col(item_text)).alias("words")).where("words <> ''")
+    return items.join(items.groupBy("words").agg(F.min("item_id").alias("class_id")), "words").select("item_id", "class_id", "words")
+
+
+def _blocks_of(benchmark: DataFrame, words: int, block_shingles: int, item_id: str, item_text: str) -> Iterator[Index]:
+    """The item classes in blocks of bounded size, as indexes."""
+    texts = _words(F.col(item_text)).alias("words")
+    classes = benchmark.select(F.col(item_id).cast("bigint").alias("id"), texts).where("words <> ''").groupBy("words").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    size = classes.agg(F.sum(F.length("words"))).first()[0] or 0
+    blocks = max(1, -(-size // (2 * block_shingles)))  # a word has at least two characters with its space
+    for b in range(blocks):
+        chosen = classes.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b) if blocks > 1 else classes
+        yield Index([(r["id"], r["n"], r["words"]) for r in chosen.collect()], words)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -150,28 +188,30 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """A row per document and item of which the document holds ``threshold`` or more (``HIT_SCHEMA``)."""
-    items = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")).where(F.length("text") > 0)
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // (2 * block_shingles)))  # a word has at least two characters with its space
+    """A row per document and item class of which the document holds ``threshold`` or more (``HIT_SCHEMA``)."""
     queries = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    hits = None
-    for b in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        index = Index([(r["item_id"], r["text"]) for r in chosen.collect()], words)
-        part = queries.mapInArrow(_search(index, threshold), HIT_SCHEMA)
-        hits = part if hits is None else hits.unionByName(part)
-    return hits
+    parts = [queries.mapInArrow(_search(index, threshold), HIT_SCHEMA) for index in _blocks_of(benchmark, words, block_shingles, item_id, item_text)]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a test item; rows with null id are kept."""
-    hits = find_leaks(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+def drop_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    words: int = WORDS,
+    block_shingles: int = BLOCK_SHINGLES,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """``docs`` without the rows that hold a test item. Rows pass where they are, nothing is shuffled."""
+    for index in _blocks_of(benchmark, words, block_shingles, item_id, item_text):
+        docs = docs.mapInArrow(_clean(index, threshold, text), docs.schema)
+    return docs
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents against all benchmark items."""
+    """All documents against all benchmark items; items of the same words are one."""
     hits = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.withColumn("containment", F.round("containment", 6))
 
@@ -179,10 +219,14 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _sql_shingles(name: str, key: str, source: str) -> str:
+def _sql_words(name: str, key: str, source: str) -> str:
     return rf"""
 {name}_w AS (
-  SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {source}),
+  SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {source})"""
+
+
+def _sql_shingles(name: str, key: str) -> str:
+    return f"""
 {name} AS (
   SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {WORDS}
     THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))
@@ -191,10 +235,11 @@ def _sql_shingles(name: str, key: str, source: str) -> str:
 
 #: For items of at least five words, as all of the benchmark tables have.
 OP6_SQL = f"""
-WITH {_sql_shingles("d", "doc_id", "documents")}, {_sql_shingles("b", "item_id", "benchmark")},
+WITH {_sql_words("d", "doc_id", "documents")}, {_sql_shingles("d", "doc_id")}, {_sql_words("i", "item_id", "benchmark")},
+b_w AS (SELECT w, min(item_id) AS item_id, count(*) AS n_items FROM i_w WHERE len(w) > 0 GROUP BY w), {_sql_shingles("b", "item_id")},
 n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
-SELECT doc_id, item_id, n::BIGINT AS n_shingles, count(*)::BIGINT AS shared, round(count(*)::DOUBLE / n, 6) AS containment
-FROM d JOIN b USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) >= {THRESHOLD} * n
+SELECT doc_id, item_id, any_value(n_items)::BIGINT AS n_items, n::BIGINT AS n_shingles, count(*)::BIGINT AS shared, round(count(*)::DOUBLE / n, 6) AS containment
+FROM d JOIN b USING (s) JOIN n USING (item_id) JOIN b_w USING (item_id) GROUP BY doc_id, item_id, n HAVING count(*) >= {THRESHOLD} * n
 """
 
 QUERIES = {"op6_benchmark_decontamination": op6_benchmark_decontamination}

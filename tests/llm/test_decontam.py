@@ -46,22 +46,41 @@ def case():
     return docs, items
 
 
+def classes(items):
+    """Smallest id and number of the items with the same words."""
+    out = {}
+    for i, t in items:
+        if words(t):
+            known, n = out.get(tuple(words(t)), (None, 0))
+            out[tuple(words(t))] = (min((x for x in (known, i) if x is not None), default=None), n + 1)
+    return out
+
+
 def test_against_brute_force(spark):
     docs, items = case()
+    items += [(i + 1000, t.upper() + " !") for i, t in items[:6]] * 3
     a, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, ITEMS)
-    want = brute(docs, items, 0.8)
+    found = classes(items)
+    want = brute(docs, [(i, " ".join(w)) for w, (i, _) in found.items()], 0.8)
     for size in (decontam.BLOCK_SHINGLES, 100):  # one pass, and several blocks of items
         got = decontam.find_leaks(a, b, block_shingles=size).collect()
-        assert {(r["doc_id"], r["item_id"], r["n_shingles"], r["shared"]) for r in got} == want
+        assert {(r["doc_id"], r["item_id"], r["n_shingles"], r["shared"]) for r in got} == want and len(got) == len(want)
+        assert all((r["item_id"], r["n_items"]) in found.values() for r in got)
     assert want
+    members = {(r["item_id"], r["class_id"]) for r in decontam.item_classes(b).collect()}
+    assert members == {(i, found[tuple(words(t))][0]) for i, t in items if words(t)}
 
 
-def test_drop_and_clashing_columns(spark):
+def test_drop_judges_rows_and_keeps_clashing_columns(spark):
     docs, items = case()
-    a = spark.createDataFrame([(i, t, 1, 2) for i, t in docs], "doc_id bigint, text string, item_id int, containment int")
-    left = decontam.drop_leaks(a, spark.createDataFrame(items, ITEMS))
-    hit = {d for d, *_ in brute(docs, items, 0.8)}
-    assert left.columns == a.columns and {r["doc_id"] for r in left.collect()} == ({d for d, _ in docs} - hit) | {None}
+    docs.append((1, "clean text under a used id"))
+    schema = "doc_id bigint, text string, item_id int, containment int, words string, n_items array<int>"
+    a = spark.createDataFrame([(i, t, 1, 2, "w", [3]) for i, t in docs], schema)
+    for size in (decontam.BLOCK_SHINGLES, 100):
+        left = decontam.drop_leaks(a, spark.createDataFrame(items, ITEMS), block_shingles=size)
+        want = [(d, t) for d, t in docs if not brute([(0, t)], items, 0.8)]
+        assert left.columns == a.columns and sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted(want, key=repr)
+        assert all((r["item_id"], r["words"], r["n_items"]) == (1, "w", [3]) for r in left.collect())
 
 
 def test_empty_tables(spark):
