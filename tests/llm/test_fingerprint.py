@@ -1,7 +1,9 @@
 import hashlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
+from terracask.llm import common
 from terracask.llm import fingerprint as fp
 
 from .conftest import write
@@ -37,18 +39,45 @@ def test_lanes_against_brute_force(spark):
     assert lanes == want
 
 
+def order(rows):
+    """(doc_id, text) in the query's order: by id, nulls last, then by the MD5 of the text, descending."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()), reverse=True)
+
+
+def edits(rows):
+    """(doc_id, SHA-256 of the edited text) of each row, by a plain version."""
+    rows = order([(i, t or "") for i, t in rows])
+    out = []
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        k = len(t) // 3
+        out.append((i, hashlib.sha256((t[: len(t) - k] + after[:k]).encode()).hexdigest()))
+    return Counter(out)
+
+
 def test_query_on_odd_rows(spark, odd_docs, tmp_path):
     rows = fp.op1_document_fingerprints(spark, write(spark, tmp_path, documents=odd_docs)).collect()
-    assert len(rows) == odd_docs.count()
-    texts = [r["text"] or "" for r in odd_docs.orderBy(F.col("doc_id").desc_nulls_last(), F.coalesce("text", F.lit("")).desc()).collect()]
-    want = set()
-    for t, after in zip(texts, texts[1:] + texts[:1]):
-        k = len(t) // 3
-        want.add(hashlib.sha256((t[: len(t) - k] + after[:k]).encode()).hexdigest())
-    assert {r["edited_sha256"] for r in rows} == want
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in rows) == edits([(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     assert all(0 <= r[c] <= 1 for r in rows for c in ("near_edited", "near_next"))
 
 
+def test_hot_ids_and_equal_rows(spark, make, tmp_path, monkeypatch):
+    rows = [(7, f"text number {i}. and more") for i in range(300)] + [(9, "the same, again.")] * 200 + [(None, f"none {i % 40}, yes") for i in range(200)] + [(i, f"own {i}") for i in range(20, 90)]
+    docs = write(spark, tmp_path, documents=make([(i, t, None, None, None) for i, t in rows]))
+    for most in (1 << 16, 15):
+        monkeypatch.setattr(common, "COPIES_AT_ONCE", most)
+        got = fp.op1_document_fingerprints(spark, docs).collect()
+        assert Counter((r["doc_id"], r["edited_sha256"]) for r in got) == edits(rows)
+    assert sum(r["near_next"] == 1.0 for r in got if r["doc_id"] == 9) >= 199
+
+
+def test_likeness_without_clauses(spark):
+    df = spark.createDataFrame([(".", ",", "", "\n"), ("", "\n", ".", ".")], "a string, b string, c string, d string")
+    for name in "abcd":
+        df = fp.with_lanes(df, name, f"{name}_l")
+    rows = fp.with_likeness(df, {"ab": ("a_l", "b_l"), "cd": ("c_l", "d_l")}).collect()
+    assert [(r["ab"], r["cd"]) for r in rows] == [(0.0, 1.0), (1.0, 1.0)]
+
+
 def test_empty_table_and_one_row(spark, make, tmp_path):
     assert fp.op1_document_fingerprints(spark, write(spark, tmp_path / "a", documents=make([]))).count() == 0
     row = fp.op1_document_fingerprints(spark, write(spark, tmp_path / "b", documents=make([(1, "abcdef", None, None, None)]))).first()
