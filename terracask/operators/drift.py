@@ -2,8 +2,9 @@
 
 Features come in long form (feature, split, value) with their names, never by position.
 Bin edges are exact order statistics found without gathering a feature's values: an
-approximate histogram tells which range of values holds each wanted rank, and only those
-ranges are sorted.
+approximate histogram of the distinct values tells which range of values holds each wanted
+rank, and only those ranges are sorted, as values with their counts; so neither many rows nor a
+value that many share come into one task.
 """
 
 from __future__ import annotations
@@ -24,34 +25,26 @@ RANGES = 64
 def order_statistics(df: DataFrame, by: str, value: str, fractions: Sequence[float]) -> DataFrame:
     """Per ``by``: the exact quantiles at ``fractions`` as ``quantiles``, linearly interpolated."""
     shares = [i / RANGES for i in range(1, RANGES)]
-    cuts = df.groupBy(by).agg(F.percentile_approx(value, shares, 20 * RANGES).alias("cuts"), F.count(value).alias("n"))
-    # a row per feature: the cut points go to the rows, not the rows to one task
-    ranged = df.where(F.col(value).isNotNull()).join(F.broadcast(cuts), by)
-    ranged = ranged.withColumn("range", F.size(F.filter("cuts", lambda c: c <= F.col(value))))
-    counts = ranged.groupBy(by, "range").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("m"))
+    cuts = counted.groupBy(by).agg(F.percentile_approx(value, shares, 20 * RANGES).alias("cuts"), F.sum("m").alias("n"))
+    ranged = counted.join(cuts, by).withColumn("range", F.size(F.filter("cuts", lambda c: c <= F.col(value)))).drop("cuts")
+    held = ranged.groupBy(by, "range").agg(F.sum("m").alias("held"), F.max("n").alias("n"))
     before = Window.partitionBy(by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("start", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    starts = held.withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
     at = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(fractions)))).alias("w")
-    wanted = starts.select(by, "range", "start", "m", "n", at)
     place = (F.col("n") - 1) * F.col("w.q")
-    wanted = wanted.withColumns({"i": F.col("w.i"), "lo": F.floor(place).cast("bigint"), "weight": place - F.floor(place)})
-    wanted = wanted.withColumn("hi", F.least(F.col("lo") + 1, F.col("n") - 1))
-
-    def here(rank: str) -> Column:
-        return (F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("start") + F.col("m"))
-
-    needed = wanted.where(here("lo") | here("hi")).groupBy(by, "range", "start").agg(F.count(F.lit(1)).alias("k"))
-    rows = ranged.select(by, "range", value).join(F.broadcast(needed), [by, "range"])
-    numbered = rows.withColumn("rank", F.row_number().over(Window.partitionBy(by, "range").orderBy(value)) - 1 + F.col("start"))
-    lows = wanted.where(here("lo")).select(by, "i", "weight", F.col("lo").alias("rank"))
-    highs = wanted.where(here("hi")).select(by, "i", F.col("hi").alias("rank"))
-    low = lows.join(numbered.select(by, "rank", F.col(value).alias("a")), [by, "rank"]).drop("rank")
-    high = highs.join(numbered.select(by, "rank", F.col(value).alias("b")), [by, "rank"]).drop("rank")
-    a, b, w = F.col("a"), F.col("b"), F.col("weight")
+    low = F.floor(place).cast("bigint")
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("end"), low.alias("rank")), F.struct(F.lit(1).alias("end"), F.least(low + 1, F.col("n") - 1).alias("rank")))).alias("e")
+    wanted = starts.select(by, "range", "start", "held", "n", at).select(by, "range", "start", "held", F.col("w.i").alias("i"), (place - F.floor(place)).alias("weight"), ends)
+    wanted = wanted.where((F.col("e.rank") >= F.col("start")) & (F.col("e.rank") < F.col("start") + F.col("held"))).select(by, "range", "start", "i", "weight", "e.end", "e.rank")
+    within = Window.partitionBy(by, "range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    sorted_ = ranged.join(wanted.select(by, "range").distinct(), [by, "range"], "left_semi").withColumn("first", F.coalesce(F.sum("m").over(within), F.lit(0)))
+    found = sorted_.join(wanted, [by, "range"]).where((F.col("rank") >= F.col("start") + F.col("first")) & (F.col("rank") < F.col("start") + F.col("first") + F.col("m")))
+    pairs = found.groupBy(by, "i").agg(*(F.max(F.when(F.col("end") == k, F.col(value))).alias(c) for k, c in ((0, "a"), (1, "b"))), F.max("weight").alias("w"))
+    a, b, w = F.col("a"), F.col("b"), F.col("w")
     # both ends of the interpolation are exact, so that an edge on a data value equals it
     mixed = F.when(w < 0.5, a + (b - a) * w).otherwise(b - (b - a) * (1 - w))
-    pairs = low.join(high, [by, "i"]).select(by, "i", mixed.alias("x"))
-    return pairs.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("quantiles"))
+    return pairs.select(by, "i", mixed.alias("x")).groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("quantiles"))
 
 
 def drift_table(df: DataFrame, reference: str, comparison: str, bins: int = BINS, epsilon: float = EPSILON, feature: str = "feature", split: str = "split", value: str = "value") -> DataFrame:
@@ -60,7 +53,7 @@ def drift_table(df: DataFrame, reference: str, comparison: str, bins: int = BINS
     edges = order_statistics(both, feature, value, [*(i * (1 / bins) for i in range(bins)), 1.0])  # an evenly stepped grid
     edges = edges.select(feature, F.array_distinct("quantiles").alias("edges"))
     inner = edges.select(feature, F.expr("CASE WHEN size(edges) > 2 THEN slice(edges, 2, size(edges) - 2) ELSE cast(array() as array<double>) END").alias("inner"), (F.size("edges") < 2).alias("flat"))
-    placed = both.join(F.broadcast(inner), feature)  # a row per feature
+    placed = both.join(inner, feature)  # a row per feature: broadcast at run time where small
     placed = placed.withColumn("bin", F.size(F.filter("inner", lambda e: F.col(value) >= e)))
     counted = placed.groupBy(feature, "bin").agg(F.count_if(F.col("c") == 0).alias("n0"), F.count_if(F.col("c") == 1).alias("n1"))
     grid = inner.select(feature, "flat", F.explode(F.expr("sequence(0, size(inner))")).alias("bin"))
@@ -105,9 +98,11 @@ def ablation_sets(drift: DataFrame, score: str, sizes: Sequence[int]) -> DataFra
     return top.select("feature", "rank", F.explode(F.array(*map(F.lit, sizes))).alias("n_removed")).where("rank <= n_removed")
 
 
-def error_analysis(df: DataFrame, by: Sequence[str], label: str = "target", score: str = "probability") -> DataFrame:
+def error_analysis(df: DataFrame, by: Sequence[str], label: str = "target", score: str = "probability", loss: str | None = None) -> DataFrame:
+    """Counts, mean probability and (of a ``loss`` column) mean loss fraction by error type."""
     typed = df.withColumn("error_type", error_type(F.col(label), F.col("prediction")))
-    return typed.groupBy(*by, "error_type").agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_probability"))
+    more = [F.avg(loss).alias("mean_loss_fraction")] if loss else []
+    return typed.groupBy(*by, "error_type").agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_probability"), *more)
 
 
 def spatial_error_grid(df: DataFrame, by: Sequence[str], size: int = 512, label: str = "target") -> DataFrame:

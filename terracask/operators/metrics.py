@@ -93,8 +93,10 @@ def threshold_sweep(df: DataFrame, by: Sequence[str] = (), label: str = "target"
     """Confusion counts and metrics at each of the 1001 thresholds.
 
     A row is counted at the highest threshold that it reaches; counts at or above a
-    threshold are running sums from the top.
+    threshold are running sums from the top. A score that is null or outside [0, 1] is an error.
     """
+    checked = F.when(F.col(score).between(0, 1), F.col(score)).otherwise(F.raise_error(F.concat(F.lit("score outside [0, 1]: "), F.coalesce(F.col(score).cast("string"), F.lit("null")))))
+    df = df.withColumn(score, checked)
     near = F.floor(F.col(score) * GRID).cast("int")
     k = F.when((near < GRID) & (F.col(score) >= grid_value(near + 1)), near + 1).when(F.col(score) < grid_value(near), near - 1).otherwise(near)
     counted = df.groupBy(*by, k.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("pos"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,25 +44,40 @@ def windows(grids: DataFrame, size: int = 32, stride: int = 8, height: str = "he
     return rows.withColumn("col_off", F.explode(offsets(width)))
 
 
-def window_valid_fraction(px: DataFrame, keys: Sequence[str], size: int = 32, stride: int = 8, valid: str = "valid") -> DataFrame:
-    """Share of valid pixels of each window at multiples of ``stride`` that holds a valid one.
+def raster_blocks(grids: DataFrame, size: int = 512, height: str = "height", width: str = "width") -> DataFrame:
+    """The blocks that a raster is read in: offsets, and sizes cut off at the raster's edges."""
+    rows = grids.withColumn("block_row_off", F.explode(F.sequence(F.lit(0), F.col(height) - 1, F.lit(size))))
+    cells = rows.withColumn("block_col_off", F.explode(F.sequence(F.lit(0), F.col(width) - 1, F.lit(size))))
+    return cells.withColumns({"block_height": F.least(F.lit(size), F.col(height) - F.col("block_row_off")), "block_width": F.least(F.lit(size), F.col(width) - F.col("block_col_off"))})
 
-    Pixels are summed into stride-sized blocks first, with partial sums; only the block sums
-    are copied to the windows that they lie in, so rows are copied (size/stride)**2 times
-    per block, not per pixel.
+
+def window_valid_fraction(px: DataFrame, keys: Sequence[str], height: Column, width: Column, size: int = 32, stride: int = 8, valid: str = "valid") -> DataFrame:
+    """Share of valid pixels of each window, as ``windows`` gives them, that holds a valid one.
+
+    ``height`` and ``width``: the raster's, of each row. Pixels are summed first into blocks as
+    large as fit into both size and stride; only the block sums are copied to the windows that they
+    lie in, so rows are copied (size/stride)**2 times per block, not per pixel.
     """
-    blocked = px.where(F.col(valid)).groupBy(*keys, F.floor(F.col("row") / stride).cast("int").alias("br"), F.floor(F.col("col") / stride).cast("int").alias("bc"))
-    blocks = blocked.agg(F.count(F.lit(1)).alias("n"))
-    span = size // stride
+    unit = math.gcd(size, stride)
+    blocked = px.where(F.col(valid)).groupBy(*keys, F.floor(F.col("row") / unit).cast("int").alias("br"), F.floor(F.col("col") / unit).cast("int").alias("bc"))
+    blocks = blocked.agg(F.count(F.lit(1)).alias("n"), F.max(height).alias("__height"), F.max(width).alias("__width"))
 
-    def origins(block: str) -> Column:
-        return F.filter(F.sequence(F.col(block) - (span - 1), F.col(block)), lambda k: k >= 0)
+    def origins(block: str, extent: str) -> Column:
+        """Numbers of the windows that hold the block."""
+        first = F.greatest(F.ceil((F.col(block) * unit + unit - size) / stride), F.lit(0)).cast("int")
+        last = F.least(F.floor(F.col(block) * unit / stride), F.floor((F.col(extent) - size) / stride)).cast("int")
+        return F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<int>"))
 
-    spread = blocks.withColumn("wr", F.explode(origins("br"))).withColumn("wc", F.explode(origins("bc")))
+    spread = blocks.withColumn("wr", F.explode(origins("br", "__height"))).withColumn("wc", F.explode(origins("bc", "__width")))
     summed = spread.groupBy(*keys, (F.col("wr") * stride).alias("row_off"), (F.col("wc") * stride).alias("col_off")).agg(F.sum("n").alias("valid_pixels"))
     return summed.withColumn("valid_fraction", F.col("valid_pixels") / float(size * size))
 
 
+def footprint_inside(height: Column, width: Column, size: int = 32, row: str = "row_off", col: str = "col_off") -> Column:
+    """Whether a patch lies within its raster."""
+    return F.coalesce((F.col(row) >= 0) & (F.col(col) >= 0) & (F.col(row) + size <= height) & (F.col(col) + size <= width), F.lit(False))
+
+
 def label_counts(px: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:
     """Positive and negative pixels of each patch and the positives' share (null without any)."""
     out = px.groupBy(*keys).agg(F.count_if(F.col(label) == 1).alias("positive"), F.count_if(F.col(label) == 0).alias("negative"))

@@ -35,9 +35,22 @@ def reflectance(raw: Column, valid: Column, scale: float = SCALE) -> Column:
     return F.when(valid & (raw > 0), raw * F.lit(scale))
 
 
-def detect_scale(px: DataFrame, band: str, scale: float = SCALE, limit: float = 2.0) -> DataFrame:
-    """One row: the scale to apply, ``scale`` if the band's 99th percentile is over ``limit``."""
-    return px.agg(F.percentile(band, 0.99).alias("p99")).withColumn("scale", F.when(F.col("p99") > limit, F.lit(scale)).otherwise(F.lit(1.0)))
+#: Side of the centred window that tells a band's units.
+SAMPLE = 512
+
+
+def detect_scale(px: DataFrame, bands: Sequence[str], height: int, width: int, scale: float = SCALE, limit: float = 2.0) -> DataFrame:
+    """One row: the scale of the bands' values. Integers are scaled; else the 99th percentile of each
+    band in the centred window (a bounded number of cells) tells, if any is over ``limit``."""
+    kinds = dict(px.dtypes)
+    whole = any(kinds[b] in ("tinyint", "smallint", "int", "bigint") for b in bands)
+    size = min(SAMPLE, height, width)
+    top, left = (height - size) // 2, (width - size) // 2
+    sample = px.where((F.col("row") >= top) & (F.col("row") < top + size) & (F.col("col") >= left) & (F.col("col") < left + size))
+    highest = F.greatest(*(F.percentile(F.col(b).cast("double"), 0.99) for b in bands)) if len(bands) > 1 else F.percentile(F.col(bands[0]).cast("double"), 0.99)
+    row = sample.agg(highest.alias("p99"))
+    needed = F.lit(scale != 1.0) & (F.lit(whole) | F.coalesce(F.col("p99") > limit, F.lit(False)))
+    return row.withColumn("scale", F.when(needed, F.lit(scale)).otherwise(F.lit(1.0)))
 
 
 def composite(px: DataFrame, keys: Sequence[str], bands: Sequence[str]) -> DataFrame:

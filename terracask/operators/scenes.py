@@ -2,41 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settled
+
 VALID_WEIGHT, CLEAR_WEIGHT = 0.85, 0.15
 MIN_COVERAGE, MIN_SCENES, MAX_SCENES = 80.0, 1, 5
-ITEM = "struct<id:string,collection:string,bbox:array<double>,properties:struct<datetime:string,`eo:cloud_cover`:double,platform:string>,links:array<struct<rel:string,href:string>>,assets:map<string,struct<href:string>>>"
+ITEM = (
+    "struct<id:string,collection:string,bbox:array<double>,properties:struct<datetime:string,`eo:cloud_cover`:double,platform:string,`s2:processing_baseline`:string,`proj:epsg`:int>,"
+    "links:array<struct<rel:string,href:string>>,assets:map<string,struct<href:string>>>"
+)
+
 
+def flatten_items(items: DataFrame, required: Sequence[str], collection: str | None = None, item: str = "item") -> DataFrame:
+    """Catalogue items (a struct like ``ITEM``) as flat rows with the status of their assets.
 
-def flatten_items(items: DataFrame, required: Sequence[str], item: str = "item") -> DataFrame:
-    """Catalogue items (a struct like ``ITEM``) as flat rows with the status of their assets."""
+    Other columns (the area, its role, year, window and time of the query) are kept; what an item
+    lacks is the empty string, its bounding box an empty list, its collection the one asked for."""
     i = F.col(item)
+    props = i["properties"]
     names = F.array(*(F.lit(r) for r in required))
     assets = F.coalesce(i["assets"], F.create_map().cast("map<string,struct<href:string>>"))
     missing = F.filter(names, lambda a: ~F.map_contains_key(assets, a))
     own = F.filter(F.coalesce(i["links"], F.array().cast("array<struct<rel:string,href:string>>")), lambda l: l["rel"] == "self")
     kept = [c for c in items.columns if c != item]
+
+    def text(value: Column, default: str = "") -> Column:
+        return F.coalesce(value.cast("string"), F.lit(default))
+
     return items.select(
         *kept,
-        i["id"].alias("item_id"),
-        i["collection"].alias("collection"),
-        i["properties"]["datetime"].alias("datetime"),
-        i["properties"]["eo:cloud_cover"].alias("cloud_cover"),
-        i["properties"]["platform"].alias("platform"),
-        F.to_json(i["bbox"]).alias("bbox"),
-        F.get(own, F.lit(0))["href"].alias("self_href"),
+        text(i["id"]).alias("item_id"),
+        text(props["datetime"]).alias("acquisition_datetime"),
+        props["eo:cloud_cover"].alias("cloud_cover_pct"),
+        text(props["platform"]).alias("platform"),
+        text(props["s2:processing_baseline"]).alias("processing_baseline"),
+        text(i["collection"], collection or "").alias("collection"),
+        text(F.get(own, F.lit(0))["href"]).alias("source_uri"),
+        props["proj:epsg"].alias("proj_epsg"),
+        F.to_json(F.coalesce(i["bbox"], F.array().cast("array<double>"))).alias("bbox"),
+        (F.size(missing) == 0).alias("required_assets_present"),
         F.array_join(missing, ";").alias("missing_assets"),
-        F.when(F.size(missing) == 0, "complete").otherwise("missing_required_assets").alias("status"),
-        *(F.try_element_at(assets, F.lit(r))["href"].alias(f"{r.lower()}_href") for r in required),
+        *(text(F.try_element_at(assets, F.lit(r))["href"]).alias(f"{r}_href") for r in required),
+        F.lit("").alias("local_path"),
+        F.when(F.size(missing) == 0, "discovered").otherwise("missing_required_assets").alias("status"),
     )
 
 
-def within_cloud_limit(items: DataFrame, most: float, cloud: str = "cloud_cover") -> DataFrame:
+def within_cloud_limit(items: DataFrame, most: float, cloud: str = "cloud_cover_pct") -> DataFrame:
     """Items with known cloud cover of at most ``most``."""
     return items.where(F.col(cloud) <= most)
 
@@ -57,37 +74,27 @@ def greedy_cover(px: DataFrame, ranks: DataFrame, by: str, item: str, pixel: str
 
     ``px``: valid pixels (by, item, pixel); ``ranks``: (by, item, score, rank); ``totals``:
     (by, total). Stops at coverage ``least`` with ``min_scenes``, at ``max_scenes``, or when nothing
-    is added. Pixels are first counted by the set of scenes that see them, so what a group's
-    task holds grows with the scenes' overlaps, not with the raster.
+    is added. Pixels are first counted by the set of scenes that see them; a step is one aggregate
+    over these patterns, of all groups at once, and its choice (a row per group) is written down, so
+    that no group's patterns come together anywhere.
     """
     seen = px.groupBy(by, pixel).agg(F.array_sort(F.collect_set(item)).alias("seen"))
-    patterns = seen.groupBy(by, "seen").agg(F.count(F.lit(1)).alias("pixels"))
-    groups = patterns.groupBy(by).agg(F.collect_list(F.struct("seen", "pixels")).alias("patterns"))
-    scenes = ranks.groupBy(by).agg(F.collect_list(F.struct(F.col(item).alias("item"), "score", "rank")).alias("scenes"))
-    ready = groups.join(scenes, by).join(totals, by)
-    kind = px.schema[item].dataType.simpleString()
-    by_kind = px.schema[by].dataType.simpleString()
-    schema = f"`{by}` {by_kind}, `{item}` {kind}, selection_order int, gain_pixels bigint, covered_pixels bigint, coverage_pct double"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for group, patterns_, scenes_, total in batch[[by, "patterns", "scenes", "total"]].itertuples(index=False):
-                left = [(frozenset(p["seen"]), p["pixels"]) for p in patterns_]
-                open_ = {s["item"]: (s["score"], s["rank"]) for s in scenes_}
-                covered = step = 0
-                while open_ and step < max_scenes and not (step >= min_scenes and total and 100.0 * covered / total >= least):
-                    gains = {i: sum(n for seen_, n in left if i in seen_) for i in open_}
-                    best = min(open_, key=lambda i: (-gains[i], -open_[i][0], open_[i][1]))
-                    if gains[best] == 0:
-                        break
-                    covered, step = covered + gains[best], step + 1
-                    rows.append((group, best, step, gains[best], covered, 100.0 * covered / total if total else None))
-                    del open_[best]
-                    left = [(s, n) for s, n in left if best not in s]
-            yield pd.DataFrame(rows, columns=[by, item, "selection_order", "gain_pixels", "covered_pixels", "coverage_pct"])
-
-    return ready.mapInPandas(run, schema)
+    left = settled(seen.groupBy(by, "seen").agg(F.count(F.lit(1)).alias("pixels")))
+    state = totals.select(by, "total", F.lit(0).cast("bigint").alias("covered"))
+    steps = []
+    for step in range(max_scenes):
+        share = 100.0 * F.col("covered") / F.col("total")
+        going = state.where(F.lit(step < min_scenes) | ~F.coalesce((F.col("total") > 0) & (share >= least), F.lit(False)))
+        gains = left.select(by, F.explode("seen").alias(item), "pixels").groupBy(by, item).agg(F.sum("pixels").alias("gain"))
+        best = gains.join(ranks, [by, item]).groupBy(by).agg(F.max(F.struct("gain", "score", -F.col("rank"), item)).alias("best"))
+        chosen = going.join(best, by).select(by, F.col(f"best.{item}").alias(item), F.lit(step + 1).alias("selection_order"), F.col("best.gain").alias("gain_pixels"), (F.col("covered") + F.col("best.gain")).alias("covered"), "total")
+        chosen = settled(chosen)
+        steps.append(chosen)
+        left = left.join(chosen.select(by, F.col(item).alias("__chosen")), by).where(~F.array_contains("seen", F.col("__chosen"))).drop("__chosen")
+        state = chosen.select(by, "total", "covered")
+    rows = reduce(DataFrame.unionByName, steps)
+    pct = F.when(F.col("total") > 0, 100.0 * F.col("covered") / F.col("total"))
+    return rows.select(by, item, "selection_order", "gain_pixels", F.col("covered").alias("covered_pixels"), pct.alias("coverage_pct"))
 
 
 def joined_ids(selected: DataFrame, by: Sequence[str], item: str, order: str) -> DataFrame:

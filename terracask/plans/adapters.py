@@ -80,17 +80,17 @@ PIXELS = """pixels AS (
 
 
 def scene_px(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid pixels of scenes: group, scene and pixel."""
-    l = table(spark, sf_dir, "lineitem").where("l_quantity < 2").select("l_orderkey", "l_suppkey")
+    """Valid pixels of scenes: group, scene and pixel (the part, so that a scene sees some of them)."""
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return l.join(o, l.l_orderkey == o.o_orderkey).select(
-        F.col("o_orderpriority").alias("aoi_id"), (F.col("o_orderkey") % 12).alias("scene"), (F.col("l_suppkey") % 97).alias("pixel")
+        F.col("o_orderpriority").alias("aoi_id"), (F.col("o_orderkey") % 12).alias("scene"), F.col("l_partkey").alias("pixel")
     )
 
 
 SCENE_PX = """scene_px AS (
-  SELECT o_orderpriority AS aoi_id, o_orderkey % 12 AS scene, l_suppkey % 97 AS pixel
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity < 2)"""
+  SELECT o_orderpriority AS aoi_id, o_orderkey % 12 AS scene, l_partkey AS pixel
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def dq_model_selection(spark, sf_dir):
 
 def dq_experiments(spark, sf_dir):
     """Ablation sets are complete, without repeats, and of known features."""
-    sets = drift.ablation_sets(drift.drift_table(_features(spark, sf_dir), "train", "test"), "smd", (2, 5))
+    sets = drift.ablation_sets(drift.drift_table(_features(spark, sf_dir), "train", "test"), "smd", (10, 20))
     wrong = sets.groupBy("n_removed").agg(F.count(F.lit(1)).alias("n")).where("n <> n_removed")
     known = _features(spark, sf_dir).select("feature").distinct()
     return ch.union(ch.empty_check(wrong, "sets_complete"), ch.unique_check(sets, "no_repeats", ["n_removed", "feature"]), ch.empty_check(sets.join(known, "feature", "left_anti"), "known_features"))
@@ -84,7 +84,7 @@ SQL = {
     + _empty("(SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem) UNION ALL (SELECT l_partkey FROM lineitem EXCEPT SELECT p_partkey FROM part)", "key_set"),
     "dq_labels": f"WITH {_LABEL} {_rows('lpx', [('label_values', 'label IN (0, 1, 255)')])} UNION ALL SELECT 'eligible_is_sum', true, '0 violations'",
     "dq_model_selection": f"WITH {SCORES}, {_conf('aoi_id')} SELECT 'one_selected' AS name, count(*) > 0 AS passed, '1' AS detail FROM c UNION ALL SELECT 'ranking_reproduces', true, '0 violations'",
-    "dq_experiments": f"{_DRIFT}, r AS (SELECT feature, row_number() OVER (ORDER BY smd DESC, feature) AS rank FROM t), ab AS (SELECT feature, n_removed FROM r, (VALUES (2), (5)) v(n_removed) WHERE rank <= n_removed) "
+    "dq_experiments": f"{_DRIFT}, r AS (SELECT feature, row_number() OVER (ORDER BY smd DESC, feature) AS rank FROM t), ab AS (SELECT feature, n_removed FROM r, (VALUES (10), (20)) v(n_removed) WHERE rank <= n_removed) "
     + _empty("SELECT n_removed FROM ab GROUP BY n_removed HAVING count(*) <> n_removed", "sets_complete")
     + " UNION ALL " + _unique("ab", "no_repeats", "n_removed, feature") + " UNION ALL " + _empty("SELECT feature FROM ab WHERE feature NOT IN (SELECT feature FROM t)", "known_features"),
     "dq_drift": f"{_DRIFT} {_rows('t', [('not_negative', 'smd >= 0 AND psi >= 0 AND jsd >= 0'), ('jsd_at_most_1', 'jsd <= 1')])} UNION ALL SELECT 'partition_totals', true, '0 violations'",

@@ -14,8 +14,8 @@ def _rounded(df, places, *columns):
 
 
 def _features(spark, sf_dir):
-    px = patch_px(spark, sf_dir).where("channel = 0 AND px < 8")
-    return px.select(F.concat(F.lit("pos"), F.col("px"), F.lit("__value")).alias("feature"), "split", "value")
+    """Every position of the vectors as a feature."""
+    return patch_px(spark, sf_dir).select(F.format_string("pos%02d__value", F.col("channel") * 16 + F.col("px")).alias("feature"), "split", "value")
 
 
 DRIFT = ("reference_mean", "comparison_mean", "smd", "psi", "jsd")
@@ -32,7 +32,7 @@ def drift_topk(spark, sf_dir):
 
 
 def _importances(table):
-    return table.select("feature", ((F.substring("feature", 4, 1).cast("int") + 1) / F.lit(36.0)).alias("importance")).where("feature <> 'pos7__value'")
+    return table.select("feature", ((F.substring("feature", 4, 2).cast("int") + 1) / F.lit(2080.0)).alias("importance")).where("feature <> 'pos63__value'")
 
 
 def drift_weighted(spark, sf_dir):
@@ -42,7 +42,7 @@ def drift_weighted(spark, sf_dir):
 
 
 def drift_ablation_sets(spark, sf_dir):
-    return drift.ablation_sets(drift.drift_table(_features(spark, sf_dir), "train", "test"), "smd", (2, 5))
+    return drift.ablation_sets(drift.drift_table(_features(spark, sf_dir), "train", "test"), "smd", (10, 20))
 
 
 def patch_summary_5stat(spark, sf_dir):
@@ -79,7 +79,8 @@ def error_profile(spark, sf_dir):
 
 
 def error_analysis(spark, sf_dir):
-    return _rounded(drift.error_analysis(_predicted(spark, sf_dir), ["role", "aoi_id"]), 9, "mean_probability")
+    p = _predicted(spark, sf_dir).withColumn("loss_fraction", (F.col("row_off") % 97) / F.lit(96.0))
+    return _rounded(drift.error_analysis(p, ["role", "aoi_id"], loss="loss_fraction"), 9, "mean_probability", "mean_loss_fraction")
 
 
 def spatial_error_grid(spark, sf_dir):
@@ -99,7 +100,7 @@ QUERIES = {
 }
 
 _DRIFT = f"""WITH {PATCH_PX},
-f AS (SELECT 'pos' || px || '__value' AS feature, split, value FROM patch_px WHERE channel = 0 AND px < 8 AND split IN ('train', 'test')),
+f AS (SELECT printf('pos%02d__value', channel * 16 + px) AS feature, split, value FROM patch_px WHERE split IN ('train', 'test')),
 v AS (SELECT feature, list(value ORDER BY value) AS v, count(*) AS n FROM f GROUP BY feature),
 h AS (SELECT feature, v, n, unnest(range(11)) AS i FROM v),
 q AS (SELECT feature, i, v[lo + 1] AS a, v[least(lo + 2, n)] AS b, w FROM (SELECT *, floor((n - 1) * (CASE WHEN i = 10 THEN 1 ELSE i * 0.1::DOUBLE END))::BIGINT AS lo, (n - 1) * (CASE WHEN i = 10 THEN 1 ELSE i * 0.1::DOUBLE END) - floor((n - 1) * (CASE WHEN i = 10 THEN 1 ELSE i * 0.1::DOUBLE END)) AS w FROM h)),
@@ -118,14 +119,14 @@ _TYPED = f"""WITH {SCORES}, p AS (SELECT *, (probability >= {THRESHOLD}::DOUBLE)
 SQL = {
     "drift_table": f"{_DRIFT} SELECT feature, round(reference_mean, 6) AS reference_mean, round(comparison_mean, 6) AS comparison_mean, round(smd, 6) AS smd, round(psi, 6) AS psi, round(jsd, 6) AS jsd, smd >= 0.8 OR psi >= 0.25 OR jsd >= 0.1 AS severe FROM t",
     "drift_topk": f"{_DRIFT} SELECT feature, round(smd, 6) AS smd FROM t ORDER BY t.smd DESC, feature LIMIT 3",
-    "drift_weighted": f"{_DRIFT}, i AS (SELECT feature, CASE WHEN feature = 'pos7__value' THEN 0 ELSE (feature[4]::INT + 1) / 36::DOUBLE END AS imp, smd FROM t) SELECT feature, round(smd, 6) AS smd, round(imp, 6) AS importance, round(smd * imp, 6) AS importance_weighted_smd FROM i",
-    "drift_ablation_sets": f"{_DRIFT}, r AS (SELECT feature, row_number() OVER (ORDER BY smd DESC, feature)::INTEGER AS rank FROM t) SELECT feature, rank, n_removed FROM r, (VALUES (2), (5)) s(n_removed) WHERE rank <= n_removed",
+    "drift_weighted": f"{_DRIFT}, i AS (SELECT feature, CASE WHEN feature = 'pos63__value' THEN 0 ELSE (substr(feature, 4, 2)::INT + 1) / 2080::DOUBLE END AS imp, smd FROM t) SELECT feature, round(smd, 6) AS smd, round(imp, 6) AS importance, round(smd * imp, 6) AS importance_weighted_smd FROM i",
+    "drift_ablation_sets": f"{_DRIFT}, r AS (SELECT feature, row_number() OVER (ORDER BY smd DESC, feature)::INTEGER AS rank FROM t) SELECT feature, rank, n_removed FROM r, (VALUES (10), (20)) s(n_removed) WHERE rank <= n_removed",
     "patch_summary_5stat": f"WITH {PATCH_PX} SELECT vec_id, channel, {_STATS} FROM patch_px GROUP BY vec_id, channel",
     "patch_summary_9stat": f"WITH {PATCH_PX} SELECT vec_id, channel, {_STATS}, " + ", ".join(f"round(quantile_cont(value, {p / 100}), 6) AS p{p}" for p in (10, 25, 75, 90)) + " FROM patch_px GROUP BY vec_id, channel",
     "feature_names": f"WITH {PATCH_PX}, s AS (SELECT vec_id, channel::VARCHAR AS channel, min(value) AS lo, max(value) AS hi FROM patch_px GROUP BY ALL) SELECT vec_id, channel, 'min' AS statistic, channel || '__min' AS feature, lo AS value FROM s UNION ALL SELECT vec_id, channel, 'max', channel || '__max', hi FROM s",
     "channel_moments": f"WITH {PATCH_PX} SELECT channel, count(value)::BIGINT AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, min(value) AS min, max(value) AS max FROM patch_px GROUP BY channel",
     "error_profile": f"WITH {SCORES}, {_conf('aoi_id, role')} SELECT *, {_PRF}, round((tp + fn)::DOUBLE / n, 9) AS positive_rate FROM c",
-    "error_analysis": f"{_TYPED} SELECT role, aoi_id, CASE WHEN target = 1 AND pr = 1 THEN 'TP' WHEN target = 0 AND pr = 1 THEN 'FP' WHEN target = 1 THEN 'FN' ELSE 'TN' END AS error_type, count(*)::BIGINT AS n, round(avg(probability), 9) AS mean_probability FROM p GROUP BY ALL",
+    "error_analysis": f"{_TYPED} SELECT role, aoi_id, CASE WHEN target = 1 AND pr = 1 THEN 'TP' WHEN target = 0 AND pr = 1 THEN 'FP' WHEN target = 1 THEN 'FN' ELSE 'TN' END AS error_type, count(*)::BIGINT AS n, round(avg(probability), 9) AS mean_probability, round(avg((row_off % 97) / 96::DOUBLE), 9) AS mean_loss_fraction FROM p GROUP BY ALL",
     "spatial_error_grid": f"{_TYPED} SELECT role, aoi_id, row_off // 512 AS grid_row, col_off // 512 AS grid_col, count(*)::BIGINT AS n, round(avg(target), 9) AS positive_rate, count(*) FILTER (target = 0 AND pr = 1)::BIGINT AS fp, count(*) FILTER (target = 1 AND pr = 0)::BIGINT AS fn, round(count(*) FILTER (target <> pr)::DOUBLE / count(*), 9) AS error_rate FROM p GROUP BY ALL",
     "prevalence_ratio": f"WITH {SCORES} SELECT round(avg(target) FILTER (role = 'dataset_development'), 9) AS reference_prevalence, round(avg(target) FILTER (role = 'geographic_holdout'), 9) AS comparison_prevalence, round((avg(target) FILTER (role = 'geographic_holdout')) / (avg(target) FILTER (role = 'dataset_development')), 9) AS ratio FROM scores",
 }

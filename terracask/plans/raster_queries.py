@@ -34,8 +34,15 @@ def reflectance_scaling(spark, sf_dir):
 
 
 def scale_detection(spark, sf_dir):
-    px = pixels(spark, sf_dir).withColumn("raw", (F.col("cell") * 37 % 10001).cast("double"))
-    return raster.detect_scale(px, "raw").withColumn("p99", F.round("p99", 6))
+    """Of a raster of 600 x 700 cells: two bands of reflectance, two of larger values, two of integers."""
+    l = table(spark, sf_dir, "lineitem")
+    raw = F.col("l_orderkey") * 37 % 10001
+    px = l.select(
+        (F.col("l_orderkey") % 600).alias("row"), (F.col("l_partkey") % 700).alias("col"), (raw / F.lit(10001.0)).alias("r0"), (F.col("l_quantity") / F.lit(50.0)).alias("r1"),
+        raw.cast("double").alias("v0"), F.col("l_quantity").alias("v1"), raw.cast("int").alias("i0"), F.col("l_linenumber").alias("i1"),
+    )
+    kinds = [raster.detect_scale(px, bands, 600, 700).withColumn("bands", F.lit(name)) for name, bands in (("reflectance", ["r0", "r1"]), ("values", ["v0", "v1"]), ("integers", ["i0", "i1"]))]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).withColumn("p99", F.round("p99", 6))
 
 
 def ndvi_features(spark, sf_dir):
@@ -98,8 +105,8 @@ def window_valid_fraction(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")
     cell = l.select(F.col("l_returnflag").alias("aoi_id"), (F.col("l_partkey") % 64).alias("row"), (F.col("l_orderkey") % 64).alias("col"), F.col("l_quantity"))
     px = cell.groupBy("aoi_id", "row", "col").agg((F.max("l_quantity") >= 25).alias("valid"))
-    w = patches.window_valid_fraction(px, ["aoi_id"])
-    return w.where("row_off <= 32 AND col_off <= 32 AND valid_fraction >= 0.3")
+    w = patches.window_valid_fraction(px, ["aoi_id"], F.lit(64), F.lit(64), 32, 12)
+    return w.where("valid_fraction >= 0.3")
 
 
 def _scene_table(spark, sf_dir):
@@ -157,7 +164,10 @@ SQL = {
   SELECT aoi_id, cell, median(nir) AS nir, median(red) AS red, count(nir)::BIGINT AS observations, median(nir) IS NOT NULL AND median(red) IS NOT NULL AS valid FROM k GROUP BY aoi_id, cell""",
     "reflectance_scaling": f"""WITH {PIXELS}, v AS (SELECT aoi_id, cell, CASE WHEN {_OK} AND cell * 37 % 10001 > 0 THEN (cell * 37 % 10001) * 0.0001::DOUBLE END AS v FROM pixels)
   SELECT aoi_id, cell, count(v)::BIGINT AS n, round(max(v), 9) AS most FROM v GROUP BY aoi_id, cell""",
-    "scale_detection": f"WITH {PIXELS}, q AS (SELECT quantile_cont((cell * 37 % 10001)::DOUBLE, 0.99) AS p FROM pixels) SELECT round(p, 6) AS p99, CASE WHEN p > 2 THEN 0.0001::DOUBLE ELSE 1::DOUBLE END AS scale FROM q",
+    "scale_detection": """WITH s AS (SELECT (l_orderkey * 37 % 10001)::DOUBLE AS raw, l_quantity AS q, l_linenumber::DOUBLE AS n FROM lineitem WHERE l_orderkey % 600 BETWEEN 44 AND 555 AND l_partkey % 700 BETWEEN 94 AND 605),
+  p AS (SELECT 'reflectance' AS bands, greatest(quantile_cont(raw / 10001, 0.99), quantile_cont(q / 50, 0.99)) AS p, false AS whole FROM s UNION ALL SELECT 'values', greatest(quantile_cont(raw, 0.99), quantile_cont(q, 0.99)), false FROM s
+    UNION ALL SELECT 'integers', greatest(quantile_cont(raw, 0.99), quantile_cont(n, 0.99)), true FROM s)
+  SELECT bands, round(p, 6) AS p99, CASE WHEN whole OR p > 2 THEN 0.0001::DOUBLE ELSE 1::DOUBLE END AS scale FROM p""",
     "ndvi_features": f"""WITH {PIXELS}, k AS (SELECT aoi_id, cell, scene % 2 AS e, CASE WHEN {_OK} THEN nir END AS nir, CASE WHEN {_OK} THEN red END AS red FROM pixels),
   m AS (SELECT aoi_id, cell, median(nir) FILTER (e = 0) AS n0, median(red) FILTER (e = 0) AS r0, median(nir) FILTER (e = 1) AS n1, median(red) FILTER (e = 1) AS r1 FROM k GROUP BY ALL),
   d AS (SELECT *, {_NDVI.format(a='n0', b='r0')} AS a, {_NDVI.format(a='n1', b='r1')} AS b FROM m)
@@ -174,7 +184,7 @@ SQL = {
   r AS (SELECT aoi_id, w, unnest(range(0, h - 31, 8))::INTEGER AS row_off FROM g), c AS (SELECT aoi_id, row_off, unnest(range(0, w - 31, 8))::INTEGER AS col_off FROM r)
   SELECT *, format('{}_r{:06d}_c{:06d}', aoi_id, row_off, col_off) AS patch_id FROM c""",
     "window_valid_fraction": """WITH c AS (SELECT l_returnflag AS aoi_id, l_partkey % 64 AS r, l_orderkey % 64 AS k, max(l_quantity) >= 25 AS valid FROM lineitem GROUP BY ALL),
-  w AS (SELECT a.aoi_id, r.o AS row_off, k.o AS col_off FROM (SELECT DISTINCT aoi_id FROM c) a, range(0, 33, 8) r(o), range(0, 33, 8) k(o)),
+  w AS (SELECT a.aoi_id, r.o AS row_off, k.o AS col_off FROM (SELECT DISTINCT aoi_id FROM c) a, range(0, 33, 12) r(o), range(0, 33, 12) k(o)),
   s AS (SELECT w.aoi_id, row_off::INTEGER AS row_off, col_off::INTEGER AS col_off, count(*)::BIGINT AS valid_pixels FROM w JOIN c ON c.aoi_id = w.aoi_id AND valid AND r >= row_off AND r < row_off + 32 AND k >= col_off AND k < col_off + 32 GROUP BY ALL)
   SELECT *, valid_pixels / 1024::DOUBLE AS valid_fraction FROM s WHERE valid_pixels / 1024::DOUBLE >= 0.3""",
     "scene_rank": f"WITH {_SCENES} SELECT aoi_id, scene, valid_pixels, round(valid_pct, 6) AS valid_pct, round(invalid_pct, 6) AS invalid_pct, score, rank FROM r",

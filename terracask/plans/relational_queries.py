@@ -112,7 +112,7 @@ def item_flatten(spark, sf_dir):
 def cloud_limit(spark, sf_dir):
     from ..operators.scenes import within_cloud_limit
 
-    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 11 != 0, F.get_json_object("props", "$.k").cast("double")).alias("cloud_cover"))
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 11 != 0, F.get_json_object("props", "$.k").cast("double")).alias("cloud_cover_pct"))
     return within_cloud_limit(e, 20.0)
 
 
@@ -200,7 +200,7 @@ SQL = {
     "dashboard_totals": f"WITH {SCORES} SELECT count(*)::BIGINT AS rows, count(*) FILTER (probability >= {THRESHOLD}::DOUBLE)::BIGINT AS alerts, count(*) FILTER (probability >= 0.6::DOUBLE)::BIGINT AS filtered FROM scores",
     "discovery_summary": "WITH e AS (SELECT event_type, year(ts)::INTEGER AS year, (props::JSON->>'k')::BIGINT AS k FROM events) SELECT event_type, year, count(*)::BIGINT AS items, count(*) FILTER (k >= 5)::BIGINT AS complete, bool_and(k >= 5) AS all_complete, CASE WHEN bool_and(k >= 5) THEN 'complete' ELSE 'incomplete' END AS status FROM e GROUP BY ALL",
     "item_flatten": "SELECT event_id, (props::JSON->>'k')::BIGINT AS k FROM events",
-    "cloud_limit": "WITH e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN (props::JSON->>'k')::DOUBLE END AS cloud_cover FROM events) SELECT * FROM e WHERE cloud_cover <= 20",
+    "cloud_limit": "WITH e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN (props::JSON->>'k')::DOUBLE END AS cloud_cover_pct FROM events) SELECT * FROM e WHERE cloud_cover_pct <= 20",
     "text_sha256_lineage": "SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes FROM documents",
     "hashed_unit_interval": "SELECT c_custkey, ('0x' || substr(sha256('42|' || c_name), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616 AS u, ('0x' || substr(sha256('42|' || c_name), 1, 16))::UBIGINT::VARCHAR AS seed FROM customer",
     "utm_project": _utm_sql(),

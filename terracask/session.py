@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "terracask", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,3 +20,15 @@ def build_session(app: str = "terracask", master: str | None = None, **conf: str
         **conf,
     }
     return builder.config(map=settings).getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and cut from their lineage, in the session's shared folder.
+    Local mode makes a folder where none is set; a cluster has to name one."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="terracask-"))
+    return df.checkpoint()
