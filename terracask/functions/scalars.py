@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,34 @@ def split_feature(name: Column) -> tuple[Column, Column]:
     """Channel and statistic of a feature name (``channel__stat``)."""
     parts = F.split(name, "__", 2)
     return parts[0], parts[1]
+
+
+def tile_name(version: Column, layer: Column, tile: Column) -> Column:
+    """The file name of a source tile."""
+    return F.format_string("Hansen_%s_%s_%s.tif", version, layer, tile)
+
+
+def window_text(start: Column, end: Column) -> Column:
+    """A closed interval of days as ISO 8601 times, from first to last second."""
+    return F.concat(F.date_format(start, "yyyy-MM-dd"), F.lit("T00:00:00Z/"), F.date_format(end, "yyyy-MM-dd"), F.lit("T23:59:59Z"))
+
+
+def number(text: Column, coerce: bool = False) -> Column:
+    """A string as a number; what is none is an error or, with ``coerce``, null."""
+    return text.try_cast("double") if coerce else text.cast("double")
+
+
+def nested(record: Column, path: str, default: str = "") -> Column:
+    """A field of a JSON text by its path, or a default."""
+    return F.coalesce(F.get_json_object(record, path), F.lit(default))
+
+
+def run_constants(df: DataFrame, run_id: str, threshold: float, flag: str = "accepted") -> DataFrame:
+    """A run's constants in front of and behind its rows."""
+    return df.select(F.lit(run_id).alias("run_id"), *df.columns, F.lit(threshold).alias("threshold"), F.lit(flag).alias("quality_flag"))
+
+
+def risk_colour(probability: Column) -> Column:
+    """Red, orange and green as RGBA components: fixed values."""
+    red, orange, green = (F.array(*map(F.lit, c)) for c in ((214, 39, 40, 185), (255, 127, 14, 170), (44, 160, 44, 130)))
+    return F.when(probability >= 0.75, red).when(probability >= 0.50, orange).otherwise(green)

@@ -126,17 +126,54 @@ def cells_inside(grids: DataFrame, bounds: DataFrame, epsg: int, key: str = "aoi
     return cells.where(inside).select(key, "row", "col")
 
 
+def lonlat_of(points: Column, epsg: int) -> Column:
+    """Longitudes and latitudes (``lon``, ``lat``) of an array of (``e``, ``n``). Each step is a pass over
+    the array, so that expressions don't multiply however many points there are."""
+    meridian, south = zone_meridian(epsg)
+
+    def step(array: Column, cells) -> Column:
+        return F.transform(array, lambda p: F.struct(*(v.alias(k) for k, v in cells(p).items())))
+
+    def projected(p: Column) -> dict[str, Column]:
+        return {"xi": (p["n"] - (FALSE_NORTHING if south else 0.0)) / (K0 * RECTIFYING), "eta": (p["e"] - FALSE_EASTING) / (K0 * RECTIFYING)}
+
+    def unbent(p: Column) -> dict[str, Column]:
+        x, y = p["eta"], p["xi"]
+        for j, b in enumerate(BETA, 1):
+            y = y - b * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+            x = x - b * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+        return {"x": x, "y": y}
+
+    def started(p: Column) -> dict[str, Column]:
+        target = F.sin(p["y"]) / F.sqrt(F.sinh(p["x"]) * F.sinh(p["x"]) + F.cos(p["y"]) * F.cos(p["y"]))
+        return {"x": p["x"], "y": p["y"], "target": target, "tau": target}
+
+    def looked_ahead(p: Column) -> dict[str, Column]:
+        return {k: p[k] for k in ("x", "y", "target", "tau")} | {"ahead": _conformal(p["tau"])}
+
+    def moved(p: Column) -> dict[str, Column]:
+        tau, ahead = p["tau"], p["ahead"]
+        by = (p["target"] - ahead) / F.sqrt(1 + ahead * ahead) * (1 + (1 - _E**2) * tau * tau) / ((1 - _E**2) * F.sqrt(1 + tau * tau))
+        return {k: p[k] for k in ("x", "y", "target")} | {"tau": tau + by}
+
+    out = step(step(step(points, projected), unbent), started)
+    for _ in range(NEWTON_STEPS):
+        out = step(step(out, looked_ahead), moved)
+    return step(out, lambda p: {"lon": meridian + F.degrees(F.atan2(F.sinh(p["x"]), F.cos(p["y"]))), "lat": F.degrees(F.atan(p["tau"]))})
+
+
 def patch_polygons(df: DataFrame, epsg: int, size: int = 32) -> DataFrame:
     """Adds ``polygon``: the closed ring of a patch's corners in degrees, to 8 places.
 
     Takes ``left``, ``top``, ``resolution``, ``row_off`` and ``col_off``.
     """
-    out = df
-    for name, dr, dc in (("p0", 0, 0), ("p1", 0, size), ("p2", size, size), ("p3", size, 0)):
-        out = out.withColumns({"__e": F.col("left") + (F.col("col_off") + dc) * F.col("resolution"), "__n": F.col("top") - (F.col("row_off") + dr) * F.col("resolution")})
-        out = with_lonlat(out, "__e", "__n", epsg, f"{name}_lon", f"{name}_lat").drop("__e", "__n")
-    ring = F.array(*(F.array(F.round(f"{n}_lon", 8), F.round(f"{n}_lat", 8)) for n in ("p0", "p1", "p2", "p3", "p0")))
-    return out.withColumn("polygon", ring).drop(*(f"p{i}_{k}" for i in range(4) for k in ("lon", "lat")))
+
+    def corner(rows: int, cols: int) -> Column:
+        e = F.col("left") + (F.col("col_off") + cols) * F.col("resolution")
+        return F.struct(e.cast("double").alias("e"), (F.col("top") - (F.col("row_off") + rows) * F.col("resolution")).cast("double").alias("n"))
+
+    corners = F.array(corner(0, 0), corner(0, size), corner(size, size), corner(size, 0), corner(0, 0))
+    return df.withColumn("polygon", F.transform(lonlat_of(corners, epsg), lambda p: F.array(F.round(p["lon"], 8), F.round(p["lat"], 8))))
 
 
 def geojson_feature(polygon: Column, properties: Column) -> Column:

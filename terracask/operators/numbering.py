@@ -34,18 +34,36 @@ def sums_before(df: DataFrame, by: Sequence[str], key: str, values: Sequence[str
     return joined.select(*df.columns, *((F.col(f"__{v}_start") + F.col(f"__{v}_here")).alias(f"{v}_before") for v in values))
 
 
-def numbered(df: DataFrame, by: str, key: str, order: Sequence[Column], out: str, ranges: int = 256) -> DataFrame:
-    """Adds ``out``: row numbers from 0 within ``by``, which has few values, in ``order``, whose first
-    column is the numeric ``key`` ascending; and ``<out>_count``, the group's size."""
+def _cuts(df: DataFrame, key: str, ranges: int) -> list[float]:
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), shares, 20 * ranges).alias("c")).first()["c"] or []
+    return df.agg(F.percentile_approx(F.col(key).cast("double"), shares, 20 * ranges).alias("c")).first()["c"] or []
+
+
+def _place(key: str, cuts: Sequence[float]) -> Column:
+    """How many cuts lie at or below the key; -1 for null."""
     listed = F.array(*(F.lit(float(c)) for c in sorted(set(cuts)))) if cuts else F.array().cast("array<double>")
-    place = F.size(F.filter(listed, lambda c: c <= F.col(key).cast("double")))
-    dealt = df.withColumn("__range", F.when(F.col(key).isNull(), -1).otherwise(place))
-    counts = dealt.groupBy(by, "__range").agg(F.count(F.lit(1)).alias("__n"))
-    group = Window.partitionBy(by)
-    earlier = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col(by).alias("__by"), F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"), F.sum("__n").over(group).alias(f"{out}_count"))
-    here = F.row_number().over(Window.partitionBy(by, "__range").orderBy(*order)) - 1
-    joined = dealt.withColumn("__here", here).join(F.broadcast(starts), F.col(by).eqNullSafe(F.col("__by")) & (F.col("__range") == F.col("__r")))  # values of by x ranges
+    return F.when(F.col(key).isNull(), -1).otherwise(F.size(F.filter(listed, lambda c: c <= F.col(key).cast("double"))))
+
+
+def numbered(df: DataFrame, by: str, keys: Sequence[str], out: str, ranges: int = 256) -> DataFrame:
+    """Adds ``out``: row numbers from 0 within ``by``, which has few values, in the ascending order of
+    ``keys``, two numeric columns or one; and ``<out>_count``, the group's size.
+
+    Rows are dealt out by ranges of the first key. A value of it that fills ranges by itself, and
+    null, is dealt out by ranges of the second."""
+    first, *rest = keys
+    cuts = _cuts(df, first, ranges)
+    hot = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+    is_hot = F.col(first).isNull() | (F.coalesce(F.col(first).cast("double").isin(hot), F.lit(False)) if hot else F.lit(False))
+    second = _place(rest[0], _cuts(df.where(is_hot), rest[0], ranges)) if rest else F.lit(0)
+    # of a range whose lower end is a hot value, that value comes first
+    dealt = df.withColumns({"__range": _place(first, cuts), "__sub": F.when(is_hot, second).otherwise(F.lit(ranges))})
+    dealt = dealt.withColumn("__group", F.when(F.col(by).isNull(), "").otherwise(F.concat(F.lit("="), F.col(by).cast("string"))))
+    parts = ["__group", "__range", "__sub"]
+    counts = dealt.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
+    group = Window.partitionBy("__group")
+    earlier = group.orderBy("__range", "__sub").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*parts, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"), F.sum("__n").over(group).alias(f"{out}_count"))
+    here = F.row_number().over(Window.partitionBy(*parts).orderBy(*(F.col(k).asc_nulls_first() for k in keys))) - 1
+    joined = dealt.withColumn("__here", here).join(starts, parts)  # on the window's own partitioning
     return joined.select(*df.columns, (F.col("__start") + F.col("__here")).alias(out), f"{out}_count")

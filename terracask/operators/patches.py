@@ -90,12 +90,21 @@ def binary_label(fraction: Column, threshold: float = 0.0) -> Column:
     return F.when(ok, (fraction > threshold).cast("int")).when(fraction.isNull(), F.lit(None)).otherwise(F.raise_error(F.lit("fraction outside [0, 1]")))
 
 
+#: Parts of a group that are capped by themselves first.
+CAP_PARTS = 64
+
+
 def seeded_cap(df: DataFrame, group: str, key: str, seed: int, most: int | None) -> DataFrame:
     """At most ``most`` rows per group, the first in a seeded hash order; all if None.
 
-    The cap is this operator's purpose: a sample of fixed size per group.
+    The cap is this operator's purpose: a sample of fixed size per group. A group is capped in
+    ``CAP_PARTS`` ranges of the hash first, so that none of its tasks holds it whole.
     """
     if most is None:
         return df
-    order = F.sha2(F.concat_ws(":", F.lit(seed), F.col(group), F.col(key)), 256)
-    return df.withColumn("__h", order).withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy("__h", key))).where(F.col("__n") <= most).drop("__h", "__n")
+    hashed = df.withColumn("__h", F.sha2(F.concat_ws(":", F.lit(seed), F.col(group), F.col(key)), 256))
+    hashed = hashed.withColumn("__part", F.conv(F.substring("__h", 1, 2), 16, 10).cast("int") % CAP_PARTS)
+    for parts in ([group, "__part"], [group]):
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy("__h", key))
+        hashed = hashed.withColumn("__n", rank).where(F.col("__n") <= most).drop("__n")
+    return hashed.drop("__h", "__part")

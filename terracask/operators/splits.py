@@ -20,6 +20,18 @@ def canonical_role(role: Column) -> Column:
     return out
 
 
+def role_or_fallback(composite_role: Column, label_role: Column, aoi: Column, holdouts: tuple[str, ...]) -> Column:
+    """The composite's role, else the label's, else by the area's name."""
+    named = F.when(aoi.isin(*holdouts), F.lit("geographic_holdout")).otherwise(F.lit("dataset_development"))
+    return canonical_role(F.coalesce(composite_role, label_role, named))
+
+
+def classes_per_split(df: DataFrame, label: str = "target", split: str = "split", classes: int = 2) -> DataFrame:
+    """Distinct labels of each split, and whether they are all there."""
+    out = df.groupBy(split).agg(F.count_distinct(label).alias("classes"))
+    return out.withColumn("complete", F.col("classes") == classes)
+
+
 def with_blocks(df: DataFrame, row: str = "row_off", col: str = "col_off", block: int = BLOCK, patch: int = PATCH) -> DataFrame:
     """Adds the spatial block of a patch's origin, and whether the patch lies within it."""
     inside = (F.col(row) % block + patch <= block) & (F.col(col) % block + patch <= block)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ["metric_queries", "split_queries", "drift_queries", "raster_queries", "relational_queries", "model_queries", "check_queries"]
+FAMILIES = ["metric_queries", "split_queries", "drift_queries", "raster_queries", "relational_queries", "model_queries", "check_queries", "catalogue_queries"]
 
 
 def queries() -> dict:

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hash_seed, normalized_name, signed_url, unit_interval
 from ..operators import geo, relational as rel
+from ..operators.scenes import ITEM, flatten_items
 from .adapters import BOXES, SCORES, boxes, scores, table
 from .metric_queries import THRESHOLD
 
 EPSG = 32719
+ASSETS = ("B02", "B03", "B04", "B08", "SCL")
 
 
 def exactly_once_lookup(spark, sf_dir):
@@ -53,10 +55,10 @@ def expected_combinations(spark, sf_dir):
 
 
 def year_pairs(spark, sf_dir):
-    """Baseline and comparison year of each area side by side, where there is exactly one each."""
-    n = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate")).groupBy("o_orderpriority", "year").agg(F.count(F.lit(1)).alias("n"))
-    ends = n.groupBy("o_orderpriority").agg(F.min_by("n", "year").alias("first_n"), F.max_by("n", "year").alias("last_n"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
-    return ends.withColumnRenamed("o_orderpriority", "aoi_id")
+    """Baseline and comparison half-year of each area side by side, exactly one of each."""
+    half = F.when(F.month("o_orderdate") <= 6, 2018).otherwise(2022)
+    n = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("aoi_id"), half.alias("year")).agg(F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("top"))
+    return rel.paired_years(n, "aoi_id", "year", 2018, 2022, ["n", "top"])
 
 
 def accept_reject(spark, sf_dir):
@@ -67,7 +69,7 @@ def accept_reject(spark, sf_dir):
 
 def representative_sample(spark, sf_dir):
     s = scores(spark, sf_dir).withColumn("prediction", (F.col("probability") >= THRESHOLD).cast("int"))
-    picked = rel.representative(s, "prediction", "probability", [F.asc("probability"), F.asc("patch_key")], 25)
+    picked = rel.representative(s, "prediction", ["probability", "patch_key"], 51)
     return picked.select("patch_key", "prediction", "probability")
 
 
@@ -82,14 +84,13 @@ def bounds_validity(spark, sf_dir):
 
 def jsonl_shards(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").where("length(trim(text)) > 0")
-    return rel.shards(c, "role", "conv_id", [F.asc("conv_id"), F.asc("turn")], 50).groupBy("role", "shard", "shard_name").agg(F.count(F.lit(1)).alias("records"))
+    return rel.shards(c, "role", ["conv_id", "turn"], 50).groupBy("role", "shard", "shard_name").agg(F.count(F.lit(1)).alias("records"))
 
 
 def dashboard_filter(spark, sf_dir):
-    """Alerts of chosen areas over a probability, with their risk colour."""
-    s = scores(spark, sf_dir).where("aoi_id IN ('1-URGENT', '2-HIGH') AND probability >= 0.6")
-    colour = F.when(F.col("probability") >= 0.75, "red").when(F.col("probability") >= 0.50, "orange").otherwise("green")
-    return s.select("patch_key", "aoi_id", "probability", colour.alias("risk"))
+    """Alerts of chosen areas over a probability, with their risk colour, by falling probability."""
+    s = rel.dashboard(scores(spark, sf_dir).withColumn("prediction", (F.col("probability") >= 0.6).cast("int")), ("1-URGENT", "2-HIGH"), 0.4, alerts_only=True)
+    return s.select("patch_key", "aoi_id", "probability", F.array_join("fill_color", ",").alias("fill_color"))
 
 
 def dashboard_totals(spark, sf_dir):
@@ -105,8 +106,19 @@ def discovery_summary(spark, sf_dir):
 
 
 def item_flatten(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    return e.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    """Catalogue items, some without a link, assets, fields or a box, as flat rows of 24 fields."""
+    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    i = F.col("event_id")
+    asset = F.struct(F.concat(F.lit("s3://a/"), i).alias("href"))
+    assets = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, ASSETS)), F.array(*([asset] * 5))), lambda name, _: (i % 7 != 0) | ~name.isin("B08", "SCL"))
+    links = F.array(F.struct(F.lit("root").alias("rel"), F.lit("/").alias("href")), *(F.struct(F.when(i % 5 != 0, "self").otherwise("parent").alias("rel"), F.concat(F.lit(f"/{n}/"), i).alias("href")) for n in (1, 2)))
+    props = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("datetime"), F.when(i % 11 != 0, F.col("k").cast("double")).alias("eo:cloud_cover"), F.col("event_type").alias("platform"), F.when(i % 3 != 0, "02.12").alias("s2:processing_baseline"), F.when(i % 4 != 0, 32719).alias("proj:epsg"))
+    item = F.struct(
+        F.concat(F.lit("item-"), i).alias("id"), F.when(i % 6 != 0, F.lit("l2a")).alias("collection"), F.when(i % 9 != 0, F.array((i % 90).cast("double"), F.lit(0.5))).alias("bbox"),
+        props.alias("properties"), F.when(i % 13 != 0, links).alias("links"), F.when(i % 17 != 0, assets).alias("assets"),
+    )
+    areas = e.select(F.col("event_type").alias("aoi_id"), F.lit("inference_only").alias("aoi_role"), F.year("ts").alias("target_year"), F.lit("2018-06-01").alias("window_start"), F.lit("2018-09-30").alias("window_end"), F.lit("2024-01-01T00:00:00Z").alias("query_timestamp_utc"), item.cast(ITEM).alias("item"))
+    return flatten_items(areas, ASSETS, "asked")
 
 
 def cloud_limit(spark, sf_dir):
@@ -188,18 +200,27 @@ SQL = {
     "split_overlap": f"WITH {SCORES} SELECT row_off // 512 AS block_row, col_off // 512 AS block_col FROM scores WHERE role = 'geographic_holdout' INTERSECT SELECT row_off // 512, col_off // 512 FROM scores WHERE role = 'final_geographic_holdout'",
     "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*)::BIGINT AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "expected_combinations": "SELECT n_name AS aoi_id, year FROM nation, (VALUES (2018), (2022)) y(year)",
-    "year_pairs": "WITH n AS (SELECT o_orderpriority AS aoi_id, year(o_orderdate)::INTEGER AS y, count(*)::BIGINT AS n FROM orders GROUP BY ALL) SELECT aoi_id, arg_min(n, y) AS first_n, arg_max(n, y) AS last_n, min(y) AS first_year, max(y) AS last_year FROM n GROUP BY aoi_id",
+    "year_pairs": "WITH n AS (SELECT o_orderpriority AS aoi_id, month(o_orderdate) <= 6 AS early, count(*)::BIGINT AS n, max(o_orderkey) AS top FROM orders GROUP BY ALL) SELECT a.aoi_id, a.n AS n_2018, b.n AS n_2022, a.top AS top_2018, b.top AS top_2022 FROM n a JOIN n b ON a.aoi_id = b.aoi_id AND a.early AND NOT b.early",
     "accept_reject": "WITH r AS (SELECT CASE WHEN value IS NULL THEN 'missing value' WHEN value > 100 THEN 'value out of range' WHEN coalesce(user_id, 0) < 10 THEN 'unknown user' END AS rejection_reason FROM events) SELECT CASE WHEN rejection_reason IS NULL THEN 'accepted' ELSE 'rejected' END AS quality_flag, rejection_reason, count(*)::BIGINT AS n FROM r GROUP BY ALL",
     "representative_sample": f"""WITH {SCORES}, p AS (SELECT *, (probability >= {THRESHOLD}::DOUBLE)::INTEGER AS prediction FROM scores),
-  q AS (SELECT *, row_number() OVER (PARTITION BY prediction ORDER BY probability, patch_key) - 1 AS pos, count(*) OVER (PARTITION BY prediction) AS n FROM p)
-  SELECT patch_key, prediction, probability FROM q WHERE n <= 25 OR list_contains(list_transform(range(25), lambda i: round_even(i * (n - 1) / 24::DOUBLE, 0)::BIGINT), pos)""",
+  q AS (SELECT *, row_number() OVER (PARTITION BY prediction ORDER BY probability, patch_key) - 1 AS pos, count(*) OVER (PARTITION BY prediction) AS n,
+    25 + (dense_rank() OVER (ORDER BY prediction) = 1)::INT AS quota FROM p), c AS (SELECT *, least(n, quota) AS k FROM q)
+  SELECT patch_key, prediction, probability FROM c WHERE list_contains(list_transform(range(k), lambda i: round_even(i * (n - 1) / greatest(k - 1, 1)::DOUBLE, 0)::BIGINT), pos)""",
     "bbox_overlap_pairs": f"WITH {BOXES} SELECT a.box_id AS left_id, b.box_id AS right_id FROM boxes a JOIN boxes b ON a.box_id < b.box_id AND a.min_lon < b.max_lon AND b.min_lon < a.max_lon AND a.min_lat < b.max_lat AND b.min_lat < a.max_lat",
     "bounds_validity": f"WITH {BOXES}, c AS (SELECT * REPLACE (CASE WHEN box_id % 7 = 0 THEN min_lat ELSE max_lat END AS max_lat) FROM boxes) SELECT box_id, abs(min_lon) <= 180 AND abs(max_lon) <= 180 AND abs(min_lat) <= 90 AND abs(max_lat) <= 90 AND min_lon < max_lon AND min_lat < max_lat AS valid FROM c",
     "jsonl_shards": "WITH n AS (SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS rn FROM conversations WHERE length(trim(text)) > 0) SELECT role, ceil(rn / 50.0)::INTEGER AS shard, printf('part-%05d', ceil(rn / 50.0)::INTEGER) AS shard_name, count(*)::BIGINT AS records FROM n GROUP BY ALL",
-    "dashboard_filter": f"WITH {SCORES} SELECT patch_key, aoi_id, probability, CASE WHEN probability >= 0.75::DOUBLE THEN 'red' WHEN probability >= 0.5::DOUBLE THEN 'orange' ELSE 'green' END AS risk FROM scores WHERE aoi_id IN ('1-URGENT', '2-HIGH') AND probability >= 0.6::DOUBLE",
+    "dashboard_filter": f"WITH {SCORES} SELECT patch_key, aoi_id, probability, CASE WHEN probability >= 0.75::DOUBLE THEN '214,39,40,185' WHEN probability >= 0.5::DOUBLE THEN '255,127,14,170' ELSE '44,160,44,130' END AS fill_color FROM scores WHERE aoi_id IN ('1-URGENT', '2-HIGH') AND probability >= 0.6::DOUBLE",
     "dashboard_totals": f"WITH {SCORES} SELECT count(*)::BIGINT AS rows, count(*) FILTER (probability >= {THRESHOLD}::DOUBLE)::BIGINT AS alerts, count(*) FILTER (probability >= 0.6::DOUBLE)::BIGINT AS filtered FROM scores",
     "discovery_summary": "WITH e AS (SELECT event_type, year(ts)::INTEGER AS year, (props::JSON->>'k')::BIGINT AS k FROM events) SELECT event_type, year, count(*)::BIGINT AS items, count(*) FILTER (k >= 5)::BIGINT AS complete, bool_and(k >= 5) AS all_complete, CASE WHEN bool_and(k >= 5) THEN 'complete' ELSE 'incomplete' END AS status FROM e GROUP BY ALL",
-    "item_flatten": "SELECT event_id, (props::JSON->>'k')::BIGINT AS k FROM events",
+    "item_flatten": """WITH e AS (SELECT *, event_id AS i, (props::JSON->>'k')::INTEGER AS k, CASE WHEN event_id % 17 = 0 THEN [] WHEN event_id % 7 = 0 THEN ['B02', 'B03', 'B04'] ELSE ['B02', 'B03', 'B04', 'B08', 'SCL'] END AS has FROM events),
+  m AS (SELECT *, list_filter(['B02', 'B03', 'B04', 'B08', 'SCL'], lambda a: NOT list_contains(has, a)) AS missing FROM e)
+  SELECT event_type AS aoi_id, 'inference_only' AS aoi_role, year(ts)::INTEGER AS target_year, '2018-06-01' AS window_start, '2018-09-30' AS window_end, '2024-01-01T00:00:00Z' AS query_timestamp_utc,
+    'item-' || i AS item_id, strftime(ts, '%Y-%m-%d') AS acquisition_datetime, CASE WHEN i % 11 <> 0 THEN k::DOUBLE END AS cloud_cover_pct, event_type AS platform, CASE WHEN i % 3 <> 0 THEN '02.12' ELSE '' END AS processing_baseline,
+    CASE WHEN i % 6 <> 0 THEN 'l2a' ELSE 'asked' END AS collection, CASE WHEN i % 13 <> 0 AND i % 5 <> 0 THEN '/1/' || i ELSE '' END AS source_uri, CASE WHEN i % 4 <> 0 THEN 32719 END AS proj_epsg,
+    CASE WHEN i % 9 <> 0 THEN '[' || (i % 90) || '.0,0.5]' ELSE '[]' END AS bbox, len(missing) = 0 AS required_assets_present, array_to_string(missing, ';') AS missing_assets,
+    """
+    + ", ".join(f"CASE WHEN list_contains(has, '{a}') THEN 's3://a/' || i ELSE '' END AS \"{a}_href\"" for a in ASSETS)
+    + ", '' AS local_path, CASE WHEN len(missing) = 0 THEN 'discovered' ELSE 'missing_required_assets' END AS status FROM m",
     "cloud_limit": "WITH e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN (props::JSON->>'k')::DOUBLE END AS cloud_cover_pct FROM events) SELECT * FROM e WHERE cloud_cover_pct <= 20",
     "text_sha256_lineage": "SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes FROM documents",
     "hashed_unit_interval": "SELECT c_custkey, ('0x' || substr(sha256('42|' || c_name), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616 AS u, ('0x' || substr(sha256('42|' || c_name), 1, 16))::UBIGINT::VARCHAR AS seed FROM customer",

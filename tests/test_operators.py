@@ -143,7 +143,7 @@ def test_window_fraction_against_brute_force(spark):
     draw = np.random.default_rng(4)
     grid = draw.random((48, 56)) < 0.6
     px = spark.createDataFrame([("a", r, c, bool(grid[r, c])) for r in range(48) for c in range(56)], "aoi_id string, row int, col int, valid boolean")
-    got = {(r["row_off"], r["col_off"]): r["valid_pixels"] for r in patches.window_valid_fraction(px, ["aoi_id"]).collect()}
+    got = {(r["row_off"], r["col_off"]): r["valid_pixels"] for r in patches.window_valid_fraction(px, ["aoi_id"], F.lit(48), F.lit(40)).collect()}
     windows = patches.windows(spark.createDataFrame([("a", 48, 56), ("small", 31, 90)], "aoi_id string, height int, width int")).collect()
     assert len(windows) == 3 * 4
     for w in windows:
