@@ -162,6 +162,11 @@ def lonlat_of(points: Column, epsg: int) -> Column:
     return step(out, lambda p: {"lon": meridian + F.degrees(F.atan2(F.sinh(p["x"]), F.cos(p["y"]))), "lat": F.degrees(F.atan(p["tau"]))})
 
 
+def map_probability(value: Column) -> Column:
+    """A probability as map features state it, to 7 places."""
+    return F.round(value, 7)
+
+
 def patch_polygons(df: DataFrame, epsg: int, size: int = 32) -> DataFrame:
     """Adds ``polygon``: the closed ring of a patch's corners in degrees, to 8 places.
 
@@ -177,5 +182,6 @@ def patch_polygons(df: DataFrame, epsg: int, size: int = 32) -> DataFrame:
 
 
 def geojson_feature(polygon: Column, properties: Column) -> Column:
+    """A map feature; probabilities should come as ``map_probability``."""
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array(polygon).alias("coordinates"))
     return F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), properties.alias("properties")))

@@ -26,11 +26,11 @@ def exactly_once(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
 
 
 def guarded(df: DataFrame, violations: DataFrame, message: str) -> DataFrame:
-    """``df``, or an error with the message if there is any row of ``violations`` (and of ``df``)."""
-    count = violations.agg(F.count(F.lit(1)).alias("__violations"))
-    checked = df.crossJoin(F.broadcast(count))  # one row
+    """``df``, or an error with the message if there is any row of ``violations``."""
     found = F.concat(F.lit(f"{message}: "), F.col("__violations").cast("string"))
-    return checked.where(F.when(F.col("__violations") > 0, F.raise_error(found).cast("boolean")).otherwise(F.lit(True))).drop("__violations")
+    none = F.when(F.col("__violations") > 0, F.raise_error(found).cast("boolean")).otherwise(F.lit(True))
+    checked = violations.agg(F.count(F.lit(1)).alias("__violations")).where(none)
+    return df.crossJoin(F.broadcast(checked)).drop("__violations")  # one row
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import checks as ch
@@ -50,11 +51,20 @@ def _candidates(spark, sf_dir):
 
 
 def dq_model_selection(spark, sf_dir):
-    """Exactly one candidate is selected, and no eligible one has a better F1."""
+    """Exactly one candidate is selected, the best one; deltas to another threshold and gates as computed anew."""
     c = _candidates(spark, sf_dir)
-    best = metrics.select_model(c, F.col("recall") >= 0.6, ["f1"], "aoi_id")
-    better = c.where("recall >= 0.6").crossJoin(F.broadcast(best.select(F.col("f1").alias("chosen")))).where("f1 > chosen")  # one row
-    return ch.union(ch.values_check(best.withColumn("one", F.lit(1)), "one_selected", "one", [1]), ch.empty_check(better, "ranking_reproduces"))
+    best = metrics.select_model(c, F.col("recall") >= 0.6, ["f1"], "aoi_id").select("aoi_id", F.lit(True).alias("chosen"))
+    flagged = c.join(best, "aoi_id", "left").withColumns({"selected": F.coalesce("chosen", F.lit(False)), "eligible": F.col("recall") >= 0.6, "number": F.dense_rank().over(Window.orderBy("aoi_id"))})  # a row per area
+    old = metrics.prf(metrics.confusion(metrics.with_prediction(scores(spark, sf_dir), 0.4), ["aoi_id"]))
+    deltas = metrics.metric_deltas(c, old, ["aoi_id"], ["precision", "recall"])
+    p = metrics.with_prediction(scores(spark, sf_dir), THRESHOLD).withColumn("other", (F.col("probability") >= 0.4).cast("int"))
+
+    def shares(column):
+        return F.avg(F.when(F.col(column) == 1, F.col("target"))), F.avg(F.when(F.col("target") == 1, F.col(column)))
+
+    (p1, r1), (p0, r0) = shares("prediction"), shares("other")
+    again = p.groupBy("aoi_id").agg((p1 - p0).alias("precision_delta"), (r1 - r0).alias("recall_delta"))
+    return ch.union(ch.selection_checks(flagged, "selected", "eligible", ["f1"], "number"), ch.recompute_check(deltas, again, ["aoi_id"], ["precision_delta", "recall_delta"], "deltas_reproduce"))
 
 
 def dq_experiments(spark, sf_dir):
@@ -72,7 +82,9 @@ def dq_drift(spark, sf_dir):
     parts = drift.error_analysis(p, ["role"]).groupBy("role").agg(F.sum("n").alias("m"))
     gap = parts.join(p.groupBy("role").agg(F.count(F.lit(1)).alias("n")), "role").where("m <> n")
     rows = ch.run_checks(table_, [ch.Check("not_negative", (F.col("smd") >= 0) & (F.col("psi") >= 0) & (F.col("jsd") >= 0)), ch.Check("jsd_at_most_1", F.col("jsd") <= 1)])
-    return ch.union(rows, ch.empty_check(gap, "partition_totals"))
+    weighed = drift.weighted(table_, table_.select("feature", F.lit(0.5).alias("importance")))
+    identity = weighed.where(~(F.abs(F.col("importance_weighted_smd") - F.col("smd") / 2) <= 1e-12))
+    return ch.union(rows, ch.empty_check(gap, "partition_totals"), ch.empty_check(identity, "weighted_identity"))
 
 
 QUERIES = {f.__name__: f for f in (grid_alignment, dq_source_rasters, dq_labels, dq_model_selection, dq_experiments, dq_drift)}
@@ -82,10 +94,14 @@ SQL = {
     + _rows("px", [("treecover_range", "tree BETWEEN 0 AND 100"), ("lossyear_range", "loss BETWEEN 0 AND 25"), ("loss_below_20", "loss < 20")])
     + " UNION ALL "
     + _empty("(SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem) UNION ALL (SELECT l_partkey FROM lineitem EXCEPT SELECT p_partkey FROM part)", "key_set"),
-    "dq_labels": f"WITH {_LABEL} {_rows('lpx', [('label_values', 'label IN (0, 1, 255)')])} UNION ALL SELECT 'eligible_is_sum', true, '0 violations'",
-    "dq_model_selection": f"WITH {SCORES}, {_conf('aoi_id')} SELECT 'one_selected' AS name, count(*) > 0 AS passed, '1' AS detail FROM c UNION ALL SELECT 'ranking_reproduces', true, '0 violations'",
+    "dq_labels": f"WITH {_LABEL} {_rows('lpx', [('label_values', 'label IN (0, 1, 255)')])} UNION ALL {_empty("SELECT aoi_id FROM lpx GROUP BY aoi_id HAVING count(*) FILTER (label = 1) + count(*) FILTER (label = 0) <> count(*) FILTER (label <> 255)", 'eligible_is_sum')}",
+    "dq_model_selection": f"""WITH {SCORES}, {_conf('aoi_id')}, {_conf('aoi_id', 0.4, 'o')}, f AS (SELECT aoi_id, 2 * tp / (2 * tp + fp + fn)::DOUBLE AS f1, tp / (tp + fn)::DOUBLE >= 0.6 AS ok, tp / (tp + fp)::DOUBLE AS p, tp / (tp + fn)::DOUBLE AS r FROM c),
+  s AS (SELECT *, row_number() OVER (ORDER BY ok DESC, f1 DESC, aoi_id) = 1 AS selected FROM f), g AS (SELECT aoi_id, tp / (tp + fp)::DOUBLE AS p, tp / (tp + fn)::DOUBLE AS r FROM o), d AS (SELECT aoi_id, s.p - g.p AS dp, s.r - g.r AS dr FROM s JOIN g USING (aoi_id)),
+  a AS (SELECT aoi_id, avg(target) FILTER (probability >= {THRESHOLD}::DOUBLE) - avg(target) FILTER (probability >= 0.4::DOUBLE) AS dp, avg((probability >= {THRESHOLD}::DOUBLE)::INT) FILTER (target = 1) - avg((probability >= 0.4::DOUBLE)::INT) FILTER (target = 1) AS dr FROM scores GROUP BY aoi_id)
+  {_empty("SELECT 1 FROM s HAVING count(*) FILTER (selected) <> 1", "one_selected")} UNION ALL {_empty("SELECT * FROM s x, s y WHERE x.selected AND (y.ok > x.ok OR (y.ok = x.ok AND y.f1 > x.f1))", "ranking_reproduces")}
+  UNION ALL {_empty("SELECT * FROM d FULL JOIN a USING (aoi_id) WHERE NOT coalesce(abs(d.dp - a.dp) <= 1e-12 AND abs(d.dr - a.dr) <= 1e-12, false)", "deltas_reproduce")}""",
     "dq_experiments": f"{_DRIFT}, r AS (SELECT feature, row_number() OVER (ORDER BY smd DESC, feature) AS rank FROM t), ab AS (SELECT feature, n_removed FROM r, (VALUES (10), (20)) v(n_removed) WHERE rank <= n_removed) "
     + _empty("SELECT n_removed FROM ab GROUP BY n_removed HAVING count(*) <> n_removed", "sets_complete")
     + " UNION ALL " + _unique("ab", "no_repeats", "n_removed, feature") + " UNION ALL " + _empty("SELECT feature FROM ab WHERE feature NOT IN (SELECT feature FROM t)", "known_features"),
-    "dq_drift": f"{_DRIFT} {_rows('t', [('not_negative', 'smd >= 0 AND psi >= 0 AND jsd >= 0'), ('jsd_at_most_1', 'jsd <= 1')])} UNION ALL SELECT 'partition_totals', true, '0 violations'",
+    "dq_drift": f"{_DRIFT}, {SCORES} {_rows('t', [('not_negative', 'smd >= 0 AND psi >= 0 AND jsd >= 0'), ('jsd_at_most_1', 'jsd <= 1')])} UNION ALL {_empty("SELECT role FROM (SELECT role, sum(n) AS m FROM (SELECT role, target, probability >= 0.536::DOUBLE AS pr, count(*) AS n FROM scores GROUP BY ALL) GROUP BY role) g JOIN (SELECT role, count(*) AS n FROM scores GROUP BY role) USING (role) WHERE m <> n", 'partition_totals')} UNION ALL {_empty("SELECT feature FROM t WHERE NOT abs(smd * 0.5 - smd / 2) <= 1e-12", 'weighted_identity')}",
 }

@@ -240,7 +240,7 @@ def extratrees_score(spark, sf_dir):
 
 
 def tree_importances(spark, sf_dir):
-    return trees.importances(trees.fit_trees(_matrix(spark, sf_dir), FEATURES, "y", trees=16), FEATURES)
+    return trees.importances(trees.fit_trees(_matrix(spark, sf_dir), FEATURES, "y", trees=16), FEATURES).orderBy(F.desc("importance"))
 
 
 def forest_score(spark, sf_dir):
@@ -250,13 +250,39 @@ def forest_score(spark, sf_dir):
 
 
 def platt_calibrate(spark, sf_dir):
-    s = scores(spark, sf_dir)
-    return trees.calibrated(s, trees.platt(s, "probability", "target"), "probability").select("patch_key", F.round("calibrated", 6).alias("calibrated"))
+    """Calibrated scores of the vectors: three folds, each calibrated on the rows its trees haven't seen."""
+    m = _matrix(spark, sf_dir)
+    models = trees.calibrated(m, FEATURES, "y", trees=8)
+    return trees.score_calibrated(m, models, FEATURES, "calibrated").select("vec_id", F.round("calibrated", 9).alias("calibrated"))
+
+
+CANDIDATES = (
+    {"id": 1, "trees": 12, "leaf": 4},
+    {"id": 2, "trees": 12, "leaf": 2, "depth": 18, "bootstrap": True},
+    {"id": 3, "trees": 12, "leaf": 4, "features": FEATURES[:5]},
+    {"id": 4, "trees": 6, "leaf": 4, "calibration": "sigmoid"},
+)
+
+
+def _swept(spark, sf_dir):
+    m = _matrix(spark, sf_dir).withColumn("part", F.col("vec_id") % 5).withColumn("aoi_id", (F.col("vec_id") % 3).cast("string"))
+    return trees.sweep(m.where("part < 3"), m.where("part = 3"), CANDIDATES, FEATURES, "y", "aoi_id", 0.5)[0]
+
+
+def candidate_sweep(spark, sf_dir):
+    """Four candidates, one on a subset of the features, one calibrated, fitted on train and judged on validation."""
+    return _swept(spark, sf_dir)
+
+
+def dq_sweep(spark, sf_dir):
+    """One candidate is selected, by the ranking of the validation alone."""
+    t = _swept(spark, sf_dir)
+    return ch.union(ch.selection_checks(t, "selected", "eligible", ["pr_auc", "worst_pr_auc", "f1"], "candidate_id"), ch.unique_check(t, "unique_candidate", ["candidate_id"]))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (dq_modeling_dataset, dq_predictions, dq_cv_folds, dq_feature_tensors, dq_patches, dq_protocol, dq_inference, dq_areas, dq_label_audit, dq_status, extratrees_score, tree_importances, forest_score, platt_calibrate)
+    for f in (dq_modeling_dataset, dq_predictions, dq_cv_folds, dq_feature_tensors, dq_patches, dq_protocol, dq_inference, dq_areas, dq_label_audit, dq_status, extratrees_score, tree_importances, forest_score, platt_calibrate, candidate_sweep, dq_sweep)
 }
 
 

@@ -63,12 +63,26 @@ def catalogue_items(spark: SparkSession, path: str) -> DataFrame:
     return pages.select(F.explode("features").alias("item"))
 
 
-def geojson_boxes(spark: SparkSession, path: str) -> DataFrame:
-    """Bounds of the polygons of GeoJSON files, named by their ``aoi_id`` or ``aoi`` property."""
-    kind = "features array<struct<properties:struct<aoi_id:string,aoi:string>,geometry:struct<type:string,coordinates:array<array<array<double>>>>>>"
-    f = spark.read.option("multiLine", True).schema(kind).json(path).select(F.explode("features").alias("f"))
-    ring = F.flatten("f.geometry.coordinates")
-    lons, lats = F.transform(ring, lambda p: p[0]), F.transform(ring, lambda p: p[1])
+def within_window(items: DataFrame, start: str, end: str, at: str = "item.properties.datetime") -> DataFrame:
+    """Items whose time lies in the closed window of days."""
+    day = F.substring(F.col(at), 1, 10)
+    return items.where((day >= start) & (day <= end))
+
+
+def geojson_boxes(spark: SparkSession, path: str, crs: str | None = None) -> DataFrame:
+    """Bounds of the polygons and multipolygons of GeoJSON files, named by their ``aoi_id`` or ``aoi``
+    property. With ``crs``, files must name a coordinate system that ends with it (others are an error)."""
+    kind = "crs struct<properties:struct<name:string>>, features array<struct<properties:struct<aoi_id:string,aoi:string>,geometry:struct<type:string,coordinates:string>>>"
+    documents = spark.read.option("multiLine", True).schema(kind).json(path)
+    if crs:
+        named = F.coalesce("crs.properties.name", F.lit(""))
+        wrong = F.raise_error(F.concat(F.lit("coordinate system is not the one required: "), named)).cast("boolean")
+        documents = documents.where(F.when(named.endswith(crs), F.lit(True)).otherwise(wrong))
+    f = documents.select(F.explode("features").alias("f"))
+    rings = "array<array<array<double>>>"
+    polygons = F.when(F.col("f.geometry.type") == "MultiPolygon", F.from_json("f.geometry.coordinates", f"array<{rings}>")).otherwise(F.array(F.from_json("f.geometry.coordinates", rings)))
+    f = f.withColumn("points", F.flatten(F.flatten(polygons)))
+    lons, lats = F.transform("points", lambda p: p[0]), F.transform("points", lambda p: p[1])
     return f.select(
         F.coalesce("f.properties.aoi_id", "f.properties.aoi").alias("aoi_id"),
         F.array_min(lons).alias("min_lon"), F.array_min(lats).alias("min_lat"), F.array_max(lons).alias("max_lon"), F.array_max(lats).alias("max_lat"),
@@ -114,8 +128,26 @@ def model(spark: SparkSession, path: str) -> tuple[dict, DataFrame]:
     return meta, spark.read.parquet(f"{path}/nodes")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def resolved(spark: SparkSession, path: str, roots: Sequence[str]) -> str:
+    """A path of a manifest, with ``/`` between its parts: as it is if it is absolute, else the first
+    that exists below the roots (the project's, the manifest's); an error if there is none."""
+    plain = path.replace("\\", "/")
+    tried = [plain] if plain.startswith("/") or "://" in plain else [f"{r.rstrip('/')}/{plain}" for r in roots]
+    for candidate in tried:
+        if exists(spark, candidate):
+            return candidate
+    raise FileNotFoundError(f"none of {tried} exists")
+
+
 def run_folder(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The relations of a finished inference run."""
+    """The relations of a finished inference run; an error that names those that are missing."""
+    if missing := [n for n in ("predictions", "rejected", "aoi_summary", "run_report") if not exists(spark, f"{path}/{n}")]:
+        raise FileNotFoundError(f"the run has no {', '.join(missing)}")
     return {
         "predictions": spark.read.parquet(f"{path}/predictions"),
         "rejected": spark.read.parquet(f"{path}/rejected"),

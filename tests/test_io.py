@@ -88,3 +88,37 @@ def test_run_folder(spark, tmp_path):
     p = spark.createDataFrame([("a", 0.5)], "patch_id string, probability double")
     writers.run_folder(str(tmp_path / "run"), p, p.limit(0), p, p)
     assert {k: v.count() for k, v in readers.run_folder(spark, str(tmp_path / "run")).items()} == {"predictions": 1, "rejected": 0, "summary": 1, "report": 1}
+
+
+def test_missing_files_are_named_and_paths_resolved(spark, tmp_path):
+    p = spark.createDataFrame([("a", 0.5)], "patch_id string, probability double")
+    p.write.parquet(str(tmp_path / "run" / "predictions"))
+    with pytest.raises(FileNotFoundError, match="rejected, aoi_summary, run_report"):
+        readers.run_folder(spark, str(tmp_path / "run"))
+    (tmp_path / "m" / "x").mkdir(parents=True)
+    (tmp_path / "m" / "x" / "f.csv").write_text("a")
+    assert readers.resolved(spark, "x\\f.csv", [str(tmp_path), str(tmp_path / "m")]) == str(tmp_path / "m" / "x" / "f.csv")
+    assert readers.resolved(spark, str(tmp_path / "m"), []) == str(tmp_path / "m")
+    with pytest.raises(FileNotFoundError):
+        readers.resolved(spark, "x/g.csv", [str(tmp_path)])
+
+
+def test_vector_files(spark, tmp_path):
+    box = [[[0.0, 1.0], [2.0, 1.0], [2.0, 3.0], [0.0, 1.0]]]
+    features = [{"properties": {"aoi": "p"}, "geometry": {"type": "Polygon", "coordinates": box}}, {"properties": {"aoi_id": "m"}, "geometry": {"type": "MultiPolygon", "coordinates": [box, [[[5.0, 5.0], [9.0, 6.0], [5.0, 5.0]]]]}}]
+    (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "crs": {"properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}, "features": features}))
+    got = {r["aoi_id"]: tuple(r)[1:] for r in readers.geojson_boxes(spark, str(tmp_path / "a.geojson"), "CRS84").collect()}
+    assert got == {"p": (0.0, 1.0, 2.0, 3.0), "m": (0.0, 1.0, 9.0, 6.0)}
+    with pytest.raises(Exception, match="not the one required"):
+        readers.geojson_boxes(spark, str(tmp_path / "a.geojson"), "4326").collect()
+
+
+def test_shards_are_numbered_and_blanks_left_out(spark, tmp_path):
+    df = spark.createDataFrame([(i, " " if i % 5 == 0 else f"t{i}") for i in range(25)], "k int, text string")
+    writers.json_line_shards(df, str(tmp_path / "s"), 8, text="text", keys=["k"])
+    folders = sorted((tmp_path / "s").glob("shard=*"))
+    assert [f.name for f in folders] == ["shard=part-00001", "shard=part-00002", "shard=part-00003"]
+    rows = [[json.loads(line)["k"] for f in sorted(folder.glob("part-*")) for line in f.read_text().splitlines()] for folder in folders]
+    assert [len(r) for r in rows] == [8, 8, 4] and sum(rows, []) == [i for i in range(25) if i % 5]
+    with pytest.raises(ValueError):
+        writers.json_line_shards(df.where("k % 5 = 0"), str(tmp_path / "t"), text="text")

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terracask.functions import scalars as sc
+from terracask.operators import numbering
 from terracask.operators import checks, drift, geo, metrics, patches, raster, relational, scenes, splits, trees
 
 
@@ -143,13 +145,61 @@ def test_window_fraction_against_brute_force(spark):
     draw = np.random.default_rng(4)
     grid = draw.random((48, 56)) < 0.6
     px = spark.createDataFrame([("a", r, c, bool(grid[r, c])) for r in range(48) for c in range(56)], "aoi_id string, row int, col int, valid boolean")
-    got = {(r["row_off"], r["col_off"]): r["valid_pixels"] for r in patches.window_valid_fraction(px, ["aoi_id"], F.lit(48), F.lit(40)).collect()}
+    got = {(r["row_off"], r["col_off"]): r["valid_pixels"] for r in patches.window_valid_fraction(px, ["aoi_id"], F.lit(48), F.lit(56)).collect()}
     windows = patches.windows(spark.createDataFrame([("a", 48, 56), ("small", 31, 90)], "aoi_id string, height int, width int")).collect()
     assert len(windows) == 3 * 4
     for w in windows:
         assert got[w["row_off"], w["col_off"]] == grid[w["row_off"] : w["row_off"] + 32, w["col_off"] : w["col_off"] + 32].sum()
 
 
+@pytest.mark.parametrize("size,stride", [(32, 12), (10, 4), (7, 7), (9, 20)])
+def test_window_fraction_of_any_stride_and_none_outside(spark, size, stride):
+    draw = np.random.default_rng(5)
+    grid = draw.random((50, 61)) < 0.7
+    px = spark.createDataFrame([("a", r, c, bool(grid[r, c])) for r in range(50) for c in range(61)], "aoi_id string, row int, col int, valid boolean")
+    got = {(r["row_off"], r["col_off"]): r["valid_pixels"] for r in patches.window_valid_fraction(px, ["aoi_id"], F.lit(50), F.lit(61), size, stride).collect()}
+    want = {(r, c): int(grid[r : r + size, c : c + size].sum()) for r in range(0, 50 - size + 1, stride) for c in range(0, 61 - size + 1, stride)}
+    assert got == {k: v for k, v in want.items() if v}
+    whole = patches.window_valid_fraction(px.withColumn("valid", F.lit(True)), ["aoi_id"], F.lit(50), F.lit(61), size, stride)
+    assert {r["valid_fraction"] for r in whole.collect()} == {1.0}
+
+
+def test_raster_blocks_and_footprints(spark):
+    blocks = patches.raster_blocks(spark.createDataFrame([("a", 600, 512)], "aoi_id string, height int, width int")).collect()
+    assert sorted((r["block_row_off"], r["block_col_off"], r["block_height"], r["block_width"]) for r in blocks) == [(0, 0, 512, 512), (512, 0, 88, 512)]
+    df = spark.createDataFrame([(0, 0), (32, 31), (33, 0), (-1, 0), (None, 0)], "row_off int, col_off int").select(patches.footprint_inside(F.lit(64), F.lit(63)).alias("i"))
+    assert [r["i"] for r in df.collect()] == [True, True, False, False, False]
+
+
+def test_scale_by_type_and_by_the_centre(spark):
+    rows = [(r, c, 0.5 if 10 <= r < 20 and 10 <= c < 20 else 9.0) for r in range(30) for c in range(30)]
+    df = spark.createDataFrame(rows, "row int, col int, v double")
+    raster_sample, raster.SAMPLE = raster.SAMPLE, 10
+    try:
+        assert one(raster.detect_scale(df, ["v"], 30, 30), "scale") == 1.0
+        assert one(raster.detect_scale(df.withColumn("w", F.col("v") + 2), ["v", "w"], 30, 30), "scale") == 0.0001
+        assert one(raster.detect_scale(df.withColumn("n", F.lit(1)), ["v", "n"], 30, 30), "scale") == 0.0001
+        assert one(raster.detect_scale(df.withColumn("n", F.lit(1)), ["n"], 30, 30, scale=1.0), "scale") == 1.0
+    finally:
+        raster.SAMPLE = raster_sample
+
+
+def test_seeded_cap(spark):
+    df = spark.createDataFrame([("a", i) for i in range(500)] + [("b", 1)], "g string, k int")
+    got = patches.seeded_cap(df, "g", "k", 7, 30).collect()
+    want = sorted(range(500), key=lambda i: hashlib.sha256(f"7:a:{i}".encode()).hexdigest())[:30]
+    assert {r["k"] for r in got if r["g"] == "a"} == set(want) and len(got) == 31
+    assert patches.seeded_cap(df, "g", "k", 7, None).count() == 501
+
+
+def test_numbers_of_hot_keys(spark):
+    draw = np.random.default_rng(2)
+    rows = [(0.5, int(k)) for k in draw.permutation(400)] + [(float(v), int(k)) for v, k in zip(draw.random(200), draw.permutation(200))] + [(None, int(k)) for k in draw.permutation(50)]
+    df = spark.createDataFrame([("g", *r) for r in rows], "by string, p double, k int")
+    got = sorted((r["at"], r["p"], r["k"]) for r in numbering.numbered(df, "by", ["p", "k"], "at", ranges=16).collect())
+    assert [(p, k) for _, p, k in got] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) and [a for a, *_ in got] == list(range(650))
+
+
 def test_published_window_count(spark):
     grid = spark.createDataFrame([("h", 1338, 1528)], "aoi_id string, height int, width int")
     assert patches.windows(grid).count() == 30832
@@ -191,10 +241,13 @@ def test_bands_resolve_to_exactly_one(spark):
 
 def test_items_flatten_and_cloud_limit(spark):
     items = [("complete", ["B02", "SCL"], 20.0), ("lacks", ["B02"], 20.1), ("null", ["B02", "SCL"], None)]
-    rows = [((i, "c", [0.0, 1.0], ("2020", cloud, "p"), [("self", "http://s/" + i), ("other", "x")], {a: ("h/" + a,) for a in assets}),) for i, assets, cloud in items]
-    df = scenes.flatten_items(spark.createDataFrame(rows, f"item {scenes.ITEM}"), ["B02", "SCL"])
+    rows = [((i, "c", [0.0, 1.0], ("2020", cloud, "p", "02.12", 32719), [("other", "x"), ("self", "http://s/" + i), ("self", "y")], {a: ("h/" + a,) for a in assets}),) for i, assets, cloud in items]
+    df = scenes.flatten_items(spark.createDataFrame([*rows, ((None, None, None, None, None, None),)], f"item {scenes.ITEM}"), ["B02", "SCL"], "asked")
     got = {r["item_id"]: r for r in df.collect()}
-    assert got["complete"]["status"] == "complete" and got["lacks"]["missing_assets"] == "SCL" and got["lacks"]["scl_href"] is None and got["null"]["self_href"] == "http://s/null"
+    assert got["complete"]["status"] == "discovered" and got["lacks"]["missing_assets"] == "SCL" and got["lacks"]["SCL_href"] == "" and got["null"]["source_uri"] == "http://s/null"
+    assert got["complete"]["processing_baseline"] == "02.12" and got["complete"]["proj_epsg"] == 32719 and got["complete"]["bbox"] == "[0.0,1.0]"
+    bare = got[""]
+    assert (bare["collection"], bare["bbox"], bare["missing_assets"], bare["status"], bare["source_uri"]) == ("asked", "[]", "B02;SCL", "missing_required_assets", "")
     assert [r["item_id"] for r in scenes.within_cloud_limit(df, 20.0).collect()] == ["complete"]
 
 
@@ -256,8 +309,40 @@ def test_exactly_once(spark):
     for bad in (right.union(right), right.limit(0)):
         with pytest.raises(Exception, match="not exactly once"):
             relational.exactly_once(left, bad, keys).collect()
-    with pytest.raises(Exception, match="not unique"):
-        relational.lookup(left, right.union(right), keys).collect()
+    for repeated in (right.union(right), right.union(right.withColumn("aoi", F.lit("other"))).union(right.withColumn("aoi", F.lit("other")))):
+        with pytest.raises(Exception, match="repeated keys"):
+            relational.lookup(left, repeated, keys).collect()
+    assert relational.lookup(left, right, keys).first()["href"] == "h1"
+
+
+def test_guarded_joins(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, a string")
+    b = spark.createDataFrame([(1, "p"), (2, "q")], "k int, b string")
+    assert relational.one_to_one(a, b, ["k"]).count() == relational.covering(a, b, ["k"]).count() == 2
+    for bad in (b.where("k = 1"), b.union(b.where("k = 1")), b.union(spark.createDataFrame([(3, "r")], b.schema))):
+        with pytest.raises(Exception, match="not once on both sides"):
+            relational.one_to_one(a, bad, ["k"]).collect()
+    with pytest.raises(Exception, match="one side lacks"):
+        relational.covering(a, b.where("k = 1"), ["k"]).collect()
+    with pytest.raises(Exception, match="selected ids missing"):
+        relational.selected(a, spark.createDataFrame([(1,), (9,)], "k int"), "k", whole=True).collect()
+    years = spark.createDataFrame([("x", 2018, 1), ("x", 2022, 2), ("y", 2018, 3)], "aoi string, year int, v int")
+    assert relational.paired_years(years.where("aoi = 'x'"), "aoi", "year", 2018, 2022, ["v"]).first().asDict() == {"aoi": "x", "v_2018": 1, "v_2022": 2}
+    with pytest.raises(Exception, match="not exactly one row"):
+        relational.paired_years(years, "aoi", "year", 2018, 2022, ["v"]).collect()
+    judged = relational.accept_reject(a, [("no x", F.col("a") == "x")])
+    assert [r["k"] for r in relational.accepted(judged).collect()] == [1]
+    with pytest.raises(Exception, match="no row is accepted"):
+        relational.accepted(relational.accept_reject(a, [("never", F.length("a") > 5)])).collect()
+
+
+def test_boxes_of_all_sizes_against_brute_force(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, float(x), float(y), float(x + w), float(y + h)) for i, (x, y, w, h) in enumerate(zip(draw.uniform(-60, 60, 120), draw.uniform(-60, 60, 120), draw.choice([0.001, 0.4, 3, 40], 120), draw.choice([0.001, 0.7, 5, 20], 120)))]
+    rows.append((200, -180.0, -90.0, 180.0, 90.0))
+    got = relational.overlapping_boxes(spark.createDataFrame(rows, "box_id int, min_lon double, min_lat double, max_lon double, max_lat double")).collect()
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] < b[3] and b[1] < a[3] and a[2] < b[4] and b[2] < a[4]}
+    assert {(r["left_id"], r["right_id"]) for r in got} == want and len(got) == len(want)
 
 
 def test_touching_boxes_don_t_overlap(spark):
@@ -303,5 +388,90 @@ def test_trees_separate_and_repeat(spark):
     assert again == nodes.orderBy("tree", "node").collect()
     with pytest.raises(KeyError):
         trees.score(df.drop("a"), nodes, ["a", "b"])
-    models = trees.platt(scored_, "probability", "y")
-    assert len(models) == 3 and trees.calibrated(scored_, models, "probability").where("calibrated NOT BETWEEN 0 AND 1").count() == 0
+
+
+def _points(spark, n=600):
+    draw = np.random.default_rng(3)
+    return spark.createDataFrame([(float(a), float(b), float(c), int(a + 0.3 * b > 0)) for a, b, c in draw.normal(size=(n, 3))], "a double, b double, c double, y int")
+
+
+@pytest.mark.parametrize("bootstrap", [False, True])
+def test_large_tables_are_split_where_they_are(spark, bootstrap):
+    df = _points(spark)
+    args = dict(trees=6, bootstrap=bootstrap, depth=12, leaf=3, packed_cells=0, small=60)
+    nodes = trees.fit_trees(df, ["a", "b", "c"], "y", **args)
+    rows = nodes.collect()
+    assert len({(r["tree"], r["node"]) for r in rows}) == len(rows)
+    by = {(r["tree"], r["node"]): r for r in rows}
+    for r in rows:  # every split has its children, and they share out its weight
+        if r["feature"] >= 0:
+            left, right = by[r["tree"], r["left_child"]], by[r["tree"], r["right_child"]]
+            assert math.isclose(left["weight"] + right["weight"], r["weight"], rel_tol=1e-9)
+    assert {r["tree"] for r in rows} == set(range(6)) and max(r["node"] for r in rows) >= 1 << 32
+    scored_ = trees.score(df, nodes, ["a", "b", "c"]).withColumn("g", F.lit(1))
+    assert one(metrics.roc_auc(scored_, ["g"], label="y"), "roc_auc") > 0.97
+    again = trees.fit_trees(df.repartition(7), ["a", "b", "c"], "y", **args).orderBy("tree", "node").collect()
+    assert [tuple(r)[:5] for r in again] == [tuple(r)[:5] for r in nodes.orderBy("tree", "node").collect()]
+
+
+def test_node_statistics_against_numpy(spark):
+    """Each node's value and weight are those of the rows that walk to it."""
+    df = _points(spark, 300)
+    nodes = trees.fit_trees(df, ["a", "b", "c"], "y", trees=2, packed_cells=0, small=40, balanced=False).collect()
+    by = {(r["tree"], r["node"]): r for r in nodes}
+    rows = [tuple(r) for r in df.collect()]
+    for t in (0, 1):
+        held = {}
+        for r in rows:
+            at = 0
+            while True:
+                held.setdefault(at, []).append(r[3])
+                node = by[t, at]
+                if node["feature"] < 0:
+                    break
+                at = node["left_child"] if r[node["feature"]] <= node["threshold"] else node["right_child"]
+        assert set(held) == {n for tree, n in by if tree == t}
+        for at, labels in held.items():
+            assert by[t, at]["weight"] == len(labels) and math.isclose(by[t, at]["value"], sum(labels) / len(labels))
+
+
+def test_sweep_selects_and_calibration_is_held_out(spark):
+    df = _points(spark, 400).withColumn("aoi", F.when(F.col("c") > 0, "p").otherwise("q"))
+    train, validation = df.where("b > -0.5"), df.where("b <= -0.5")
+    candidates = [{"id": 1, "trees": 4, "features": ["c"]}, {"id": 2, "trees": 8}, {"id": 3, "trees": 4, "calibration": "sigmoid"}]
+    table, nodes = trees.sweep(train, validation, candidates, ["a", "b", "c"], "y", "aoi", 0.6)
+    rows = {r["candidate_id"]: r for r in table.collect()}
+    assert set(nodes) == {1, 2} and [r["feature_count"] for r in rows.values()] == [1, 3, 3]
+    assert sum(r["selected"] for r in rows.values()) == 1 and not rows[1]["selected"]
+    got = {r["name"]: r["passed"] for r in checks.selection_checks(table, "selected", "eligible", ["pr_auc", "worst_pr_auc", "f1"], "candidate_id").collect()}
+    assert got == {"one_selected": True, "ranking_reproduces": True}
+    for wrong in (F.lit(True), F.col("candidate_id") == 1):
+        bad = checks.selection_checks(table.withColumn("selected", wrong), "selected", "eligible", ["pr_auc", "worst_pr_auc", "f1"], "candidate_id").collect()
+        assert not all(r["passed"] for r in bad)
+    with pytest.raises(KeyError):
+        trees.sweep(train, validation, [{"id": 1, "features": ["z"]}], ["a"], "y", "aoi")
+    with pytest.raises(ValueError):
+        trees.calibrated(train, ["a"], "y", method="isotonic")
+    models = trees.calibrated(train, ["a", "b"], "y", trees=4)
+    assert len(models) == 3 and all(slope > 0 for _, slope, _ in models)
+    assert trees.score_calibrated(train, models, ["a", "b"]).where("probability NOT BETWEEN 0 AND 1").count() == 0
+
+
+def test_suites_fail_where_they_should(spark):
+    flags = spark.createDataFrame([(["train", "test"], True, 3, 2, 2)], "selection_used_splits array<string>, test_used_for_selection boolean, locked_at int, test_evaluated_at int, test_evaluations int")
+    assert [r["passed"] for r in checks.protocol_checks(flags).collect() if r["name"] != "non_empty"] == [False] * 4
+    a, b = spark.createDataFrame([(1, 0)], "k int, y int"), spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "k int, y int")
+    assert not checks.keys_check(a, b, "keys", ["k"]).first()["passed"] and checks.keys_check(a, a, "keys", ["k"]).first()["passed"]
+    assert not checks.classes_check(b, "classes", ["k"], "y").first()["passed"] and checks.classes_check(b.where("k = 1"), "classes", ["k"], "y").first()["passed"]
+    assert tuple(checks.columns_check(a, "columns", ["k", "z"]).first()) == ("columns", False, "z")
+    areas = spark.createDataFrame([("good",), ("bad",)], "aoi_id string")
+    composites = spark.createDataFrame([("good", 2018, 90.0), ("good", 2022, 85.0), ("bad", 2018, 10.0)], "aoi_id string, target_year int, valid_coverage_pct double")
+    labels = spark.createDataFrame([("good", 5, 5, 99.0)], "aoi_id string, positive_pixels int, negative_pixels int, eligible_coverage_pct double")
+    got = {r["aoi_id"]: (r["status"], r["failed_checks"]) for r in checks.label_audit(areas, composites, labels, (2018, 2022), 80.0, 95.0).collect()}
+    assert got == {"good": ("PASSED", ""), "bad": ("FAILED", "has_two_composites|composite_coverage|single_label_row|eligible_coverage|both_classes")}
+
+
+def test_sweep_refuses_scores_that_are_none(spark):
+    for bad in (None, -0.1, 1.5, float("nan")):
+        with pytest.raises(Exception, match="outside"):
+            metrics.threshold_sweep(spark.createDataFrame([(0.5, 1), (bad, 0)], "probability double, target int")).collect()
