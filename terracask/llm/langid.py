@@ -55,7 +55,9 @@ SMOOTHING = 0.1
 SHORT = 32
 #: Ends of a long word that are looked at together, and steps between rescalings.
 RUN, RESCALE = 2048, 8
-CACHE = 1 << 18
+CACHE = 1 << 17
+#: Words that are scored in step, and bytes of texts that are looked at together.
+WORDS_AT_ONCE, BYTES_AT_ONCE = 1 << 13, 1 << 20
 UNDETERMINED = "und"
 
 
@@ -65,7 +67,8 @@ def _numerals() -> str:
     return "".join(re.escape(c) for c in odd)
 
 
-#: A run of letters.
+#: A run of word characters that are no digits; and a run of letters, which takes longer to find.
+RUN_OF = re.compile(r"[^\W\d_]+")
 WORD = re.compile(rf"[^\W\d_{_numerals()}]+")
 
 
@@ -239,13 +242,15 @@ class Model:
     def score_words(self, words: list[str]) -> np.ndarray:
         """Word x language log probabilities, over all segmentations."""
         out = np.zeros((len(words), self.probabilities.shape[1]))
-        short = [k for k, w in enumerate(words) if len(w) <= SHORT]
-        order, sizes, starts, ids = self._laid([words[k] for k in short])
-        alpha = self._forward(sizes, starts, ids)
-        at = np.array(short, np.int64)[order] if short else order
-        for e in range(1, len(alpha)):
-            longer = int(np.searchsorted(-sizes, -(e + 1), "right"))
-            out[at[longer : len(alpha[e])]] = np.log(alpha[e][longer:])
+        every = [k for k, w in enumerate(words) if len(w) <= SHORT]
+        for start in range(0, len(every), WORDS_AT_ONCE):
+            short = every[start : start + WORDS_AT_ONCE]
+            order, sizes, starts, ids = self._laid([words[k] for k in short])
+            alpha = self._forward(sizes, starts, ids)
+            at = np.array(short, np.int64)[order]
+            for e in range(1, len(alpha)):
+                longer = int(np.searchsorted(-sizes, -(e + 1), "right"))
+                out[at[longer : len(alpha[e])]] = np.log(alpha[e][longer:])
         for k, w in enumerate(words):
             if len(w) > SHORT:
                 out[k] = self._chain(_codes(w))
@@ -305,7 +310,10 @@ def learn(counts: dict[str, dict[str, int]], names: list[str], rounds: int = ROU
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    found = RUN_OF.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in ((run,) if run.isalpha() else WORD.findall(run))]
 
 
 def sample(labelled: DataFrame, text: str, lang: str, train_docs: int) -> tuple[DataFrame, list[str]]:
@@ -345,7 +353,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", vocabulary:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in S.slices(whole, "text"):
+        for batch in S.slices(whole, "text", BYTES_AT_ONCE):
             counts: Counter = Counter()
             for name, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 counts.update((name, w) for w in words_of(text))
@@ -427,7 +435,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", out: str = "lang_pr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for whole in batches:
-            for batch in S.slices(whole, text):
+            for batch in S.slices(whole, text, BYTES_AT_ONCE):
                 langs, scores = scorer.predict(batch.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
 

@@ -17,8 +17,8 @@ deeper rounds raise by less than a fifth, however many; more similar ones far le
 
 Work is saved only where it can't lose a link between components: equal sets are one
 class; before nodes are compared, each document is confirmed against the smallest document
-that it most often meets, and pairs inside a component that is already connected are not
-compared again; pairs are passed over when their sizes, or 128 minwise values, rule the
+that it most often meets (where their signatures are alike), and pairs inside a component that
+is already connected are not compared again; pairs are passed over when their sizes, or 128 minwise values, rule the
 threshold out (a chance below 1e-5). All links are confirmed on full sets. What is still
 too large after ``ROUNDS`` rounds is compared in blocks too.
 
@@ -64,6 +64,12 @@ SUBTREES = 8
 COPIES = 16
 #: Shingles that the documents of such a node may have together.
 WEIGHT = 1 << 23
+#: Shingles of sets that are compared by 16 bits of each first.
+NARROW = 2048
+#: Ids of documents that are sent to the texts at once, some 16 MB.
+BROADCAST_IDS = 1 << 20
+#: Nodes whose coordinates are drawn at a time.
+CHOSEN_AT_ONCE = 1 << 12
 #: Rows that are compared with a node's others at a time.
 BAND = 128
 _MULTIPLIERS = S.stream(21, COORDINATES) | S.U(1)
@@ -80,9 +86,13 @@ FEATURES = "doc_id bigint, mark bigint, n_shingles bigint, k1 bigint, k2 bigint,
 def _chosen(nodes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """For each node the coordinates chosen in it, as (index into nodes, coordinate)."""
     limit = S.U(int((1 << 64) * (100 / percent) / COORDINATES))
-    with np.errstate(over="ignore"):
-        draws = S.mix(nodes[:, None] ^ _OFFSETS[None, :])
-    return np.nonzero(draws < limit)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for start in range(0, len(nodes), CHOSEN_AT_ONCE):
+        with np.errstate(over="ignore"):
+            draws = S.mix(nodes[start : start + CHOSEN_AT_ONCE, None] ^ _OFFSETS[None, :])
+        at, coordinate = np.nonzero(draws < limit)
+        found.append((at + start, coordinate))
+    return np.concatenate([a for a, _ in found]), np.concatenate([c for _, c in found])
 
 
 def descend(tokens: np.ndarray, rows: np.ndarray, nodes: np.ndarray, depth: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,8 +252,9 @@ def _contested(percent: int):
     return run
 
 
-def _links(percent: int):
-    """The links of each node's rows between different components, by 32 bits of each shingle.
+def _links(percent: int, narrow: int):
+    """The links of each node's rows between different components, by 32 bits of each shingle (16, in
+    sets of at most ``narrow``).
 
     A pair that meets in several nodes is compared in the one with the smallest number; the
     blocks of an oversize node are its, and as one node here (``home``). Bits that are the same by chance can only add pairs, which are confirmed on full sets later;
@@ -256,16 +267,20 @@ def _links(percent: int):
                 continue
             here = rows.column("home")[0].as_py()
             ids, comp, size, side = (rows.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
-            sets = [np.frombuffer(x.as_buffer(), np.uint32) for c in rows.column("low").chunks for x in c]
+            held = (x for c in rows.column("low").chunks for x in c)
+            sets = [np.frombuffer(x.as_buffer(), np.uint16 if k <= narrow else np.uint32) for x, k in zip(held, size)]
             met = _met_before(rows.column("nodes").to_pylist(), here)
             out: list[tuple[int, int]] = []
             for left, right in _close(_matrix(rows), size, comp, side, percent):
                 new = ~(met[left] & met[right]).any(1)
                 for i, j in zip(left[new].tolist(), right[new].tolist()):
-                    small, large = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
+                    u, v = sets[i], sets[j]
+                    if u.dtype != v.dtype:  # of sets of either width the bits that both have
+                        u, v = (np.unique(x.astype(np.uint16)) for x in (u, v))
+                    small, large = (u, v) if len(u) <= len(v) else (v, u)
                     at = np.searchsorted(large, small)
                     at[at == len(large)] = 0
-                    both = int((large[at] == small).sum()) + int(min(size[i] - len(sets[i]), size[j] - len(sets[j])))
+                    both = int((large[at] == small).sum()) + int(min(size[i] - len(u), size[j] - len(v)))
                     if 100 * both >= percent * (int(size[i]) + int(size[j]) - both):
                         out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
             if out:
@@ -288,14 +303,30 @@ def _met_before(nodes: list[list[int]], here: int) -> np.ndarray:
     return bits
 
 
-def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Full shingle sets, sorted, and sorted without repeats in 32 bits."""
-    for whole in batches:
-        for batch in S.slices(whole, "text"):
-            values, offsets = _sets(batch)
-            full = [values[a:b] for a, b in zip(offsets, offsets[1:])]
-            low = [np.unique(v.astype(np.uint32)).tobytes() for v in full]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([v.tobytes() for v in full], pa.binary()), pa.array(low, pa.binary())], ["id", "set", "low"])
+def _all_sets(narrow: int):
+    """Full shingle sets, sorted, and sorted without repeats in 32 bits, or in 16 those of at most ``narrow``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in S.slices(whole, "text"):
+                values, offsets = _sets(batch)
+                full = [values[a:b] for a, b in zip(offsets, offsets[1:])]
+                low = [np.unique(v.astype(np.uint16 if len(v) <= narrow else np.uint32)).tobytes() for v in full]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([v.tobytes() for v in full], pa.binary()), pa.array(low, pa.binary())], ["id", "set", "low"])
+
+    return run
+
+
+def _alike(percent: int):
+    """Of pairs with their signatures, those that agree in enough values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in ("sig_a", "sig_b"))
+                yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(1) >= least_agreement(percent)))
+
+    return run
 
 
 def _confirm(percent: int):
@@ -345,16 +376,33 @@ class _Join:
         return self.reps.select("id", "n", "sig").join(self.labels.withColumnRenamed("node", "id"), "id")
 
     def counted(self, members: DataFrame) -> DataFrame:
-        """(node, id, n, size, weight, first) of the nodes that have at least two members."""
+        """(node, id, n, size, weight, first) of the nodes that have at least two members. Tables that
+        grow with the corpus, as here, are joined by shuffles at every size."""
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("id").alias("first")).where("size > 1")
-        return self.keep(members.join(sizes, "node"), "members")
+        return self.keep(members.join(sizes.hint("merge"), "node"), "members")
+
+    def sets_of(self, ids: DataFrame, column: str) -> DataFrame:
+        """(id, ``column``) of the documents with these ids (distinct), their sets made anew from their
+        texts. The texts stay where they are if the ids are few enough to be sent to them."""
+        ids = self.keep(ids.select(F.col("id").alias("doc_id")), "ids")
+        few = ids.count() <= BROADCAST_IDS
+        texts = self.docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+        return self.keep(texts.mapInArrow(_all_sets(NARROW), "id bigint, set binary, low binary").select("id", column), "sets")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Joins the components of the pairs (a, b) that are links on their full sets."""
         pairs = self.keep(pairs, "pairs")
-        with_a = pairs.join(self.sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-        with_b = with_a.join(self.sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+        sets = self.sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "set")
+        with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
+        with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
         self.merge(self.keep(with_b.mapInArrow(_confirm(self.percent), "a bigint, b bigint"), "links"))
+        self.drop("sets", "ids", "pairs")
+
+    def alike(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that sizes and signatures don't rule out."""
+        for end in ("a", "b"):
+            pairs = pairs.join(self.reps.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")).hint("merge"), end)
+        return pairs.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).mapInArrow(_alike(self.percent), "a bigint, b bigint")
 
     def merge(self, links: DataFrame) -> None:
         """Joins the components that ``links`` connect."""
@@ -378,12 +426,10 @@ class _Join:
 
     def run(self) -> None:
         members = self.counted(self.reps.select(F.explode("nodes").alias("node"), "id", "n"))
-        texts = self.docs.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        self.sets = self.keep(texts.mapInArrow(_all_sets, "id bigint, set binary, low binary"), "sets")
         # First the document that each one most often meets as a node's smallest.
         meets = members.where("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("times"))
         best = meets.groupBy("id").agg(F.max(F.struct("times", -F.col("first"))).alias("m"))
-        self.confirm(best.select((-F.col("m.col2")).alias("a"), F.col("id").alias("b")))
+        self.confirm(self.alike(best.select((-F.col("m.col2")).alias("a"), F.col("id").alias("b"))))
         for round_ in range(ROUNDS + 1):
             rows = members.drop("n", "first").join(self.info(), "id")
             mixed = rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node")
@@ -412,8 +458,11 @@ class _Join:
         found = dealt(small).mapInArrow(_contested(self.percent), "node bigint, id bigint, side int, home bigint")
         contested = self.keep(found, "contested")
         lists = contested.groupBy("id").agg(F.collect_set("home").alias("nodes"))  # a document's own nodes
-        rows = contested.join(lists, "id").join(self.info(), "id").join(self.sets.select("id", "low"), "id")
-        self.confirm(dealt(rows).mapInArrow(_links(self.percent), "a bigint, b bigint").distinct())
+        rows = contested.join(lists, "id").join(self.info(), "id").join(self.sets_of(contested.select("id").distinct(), "low"), "id")
+        found = self.keep(dealt(rows).mapInArrow(_links(self.percent, NARROW), "a bigint, b bigint").distinct(), "found")
+        self.drop("sets", "ids", "contested")
+        self.confirm(found)
+        self.drop("found")
 
     def planned(self, large: DataFrame) -> DataFrame:
         """(node, main, a, b, copies) of oversize nodes: the component with most rows in it, the
@@ -446,7 +495,7 @@ def _verdicts(docs: DataFrame, percent: int, trees: int) -> DataFrame:
     """(doc_id, mark, n_shingles, component_id, kept) per row; ``mark`` is the hash of its text."""
     join = _Join(docs, percent, trees)
     join.run()
-    join.drop("reps", "members", "open", "plans", "contested", "sets", "pairs", "links", "edges")
+    join.drop("reps", "members", "open", "plans", "contested", "sets", "ids", "found", "pairs", "links", "edges")
     rows = join.features.select("doc_id", "mark", "n_shingles", "k1", "k2")
     classed = rows.join(join.classes, ["k1", "k2", "n_shingles"], "left")
     labelled = classed.join(join.labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -149,3 +149,12 @@ def test_rows_that_share_an_id_are_judged_by_their_own_texts(make):
     left = nd.drop_near_duplicates(clashing)
     assert left.columns == clashing.columns
     assert sorted((r["doc_id"] or 0, r["text"][0]) for r in left.collect()) == [(0, "a"), (0, "a"), (1, "a"), (2, "b"), (3, "c")]
+
+
+def test_sets_of_either_width_meet(make, monkeypatch):
+    rows = look_alikes(12, (125, 140))
+    want = brute(rows, 85)
+    docs = make([(i, t, None, None, None) for i, t in rows])
+    for narrow in (0, 146, 10_000):  # all wide, some of each, all narrow
+        monkeypatch.setattr(nd, "NARROW", narrow)
+        assert verdicts(nd.near_duplicates(docs, 85)) == want
