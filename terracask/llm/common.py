@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import atexit
 import bisect
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run here hands Python batches of at most ``rows`` rows, whose cells may be large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _written: dict[str, SparkSession] = {}
 
 

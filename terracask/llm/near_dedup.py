@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import drop_path, fresh, table, write_table
+from .common import arrow_rows, drop_path, fresh, table, write_table
 from .components import components
 
 WORDS = 5
@@ -68,6 +68,8 @@ WEIGHT = 1 << 23
 NARROW = 2048
 #: Ids of documents that are sent to the texts at once, some 16 MB.
 BROADCAST_IDS = 1 << 20
+#: Rows, and pairs with both sets, in a batch that Python is handed.
+ROWS_AT_ONCE, PAIRS_AT_ONCE = 1024, 64
 #: Nodes whose coordinates are drawn at a time.
 CHOSEN_AT_ONCE = 1 << 12
 #: Rows that are compared with a node's others at a time.
@@ -395,7 +397,9 @@ class _Join:
         sets = self.sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "set")
         with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
         with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-        self.merge(self.keep(with_b.mapInArrow(_confirm(self.percent), "a bigint, b bigint"), "links"))
+        with arrow_rows(self.spark, PAIRS_AT_ONCE):
+            links = self.keep(with_b.mapInArrow(_confirm(self.percent), "a bigint, b bigint"), "links")
+        self.merge(links)
         self.drop("sets", "ids", "pairs")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
@@ -493,8 +497,9 @@ class _Join:
 
 def _verdicts(docs: DataFrame, percent: int, trees: int) -> DataFrame:
     """(doc_id, mark, n_shingles, component_id, kept) per row; ``mark`` is the hash of its text."""
-    join = _Join(docs, percent, trees)
-    join.run()
+    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+        join = _Join(docs, percent, trees)
+        join.run()
     join.drop("reps", "members", "open", "plans", "contested", "sets", "ids", "found", "pairs", "links", "edges")
     rows = join.features.select("doc_id", "mark", "n_shingles", "k1", "k2")
     classed = rows.join(join.classes, ["k1", "k2", "n_shingles"], "left")
